@@ -1,3 +1,3 @@
 """Imports every group of cases, which registers them."""
 
-from checks import cases_functions, cases_projections  # noqa: F401
+from checks import cases_aggregates, cases_functions, cases_projections  # noqa: F401

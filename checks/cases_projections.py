@@ -307,7 +307,7 @@ def _(t):
     return warehouse.warehouse_names(gold_form)
 
 
-@case("prj_30_labels_in_silver", sql.over(
+@case("jn_08_label_lookup", sql.over(
     "SELECT event_id, vessel_type_label, status_label, lat_bin, lon_bin FROM silver"))
 def _(t):
     return t.silver.select("event_id", "vessel_type_label", "status_label", "lat_bin", "lon_bin")

@@ -16,14 +16,16 @@ def dec(expr: str, digits: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
-def avg(expr: str) -> str:
-    """Average over exact ten-thousandths."""
-    units = f"sum(CAST(round(({expr}) * CAST(10000 AS DOUBLE)) AS BIGINT))"
-    return f"(CAST({units} AS DOUBLE) / nullif(count({expr}) * CAST(10000 AS DOUBLE), 0))"
+def avg(expr: str, digits: int = 4) -> str:
+    """Average over exact units of the last decimal."""
+    scale = f"CAST({10 ** digits} AS DOUBLE)"
+    units = f"sum(CAST(round(({expr}) * {scale}) AS BIGINT))"
+    return f"(CAST({units} AS DOUBLE) / nullif(count({expr}) * {scale}, 0))"
 
 
-def total(expr: str) -> str:
-    return f"(CAST(sum(CAST(round(({expr}) * CAST(10000 AS DOUBLE)) AS BIGINT)) AS DOUBLE) / CAST(10000 AS DOUBLE))"
+def total(expr: str, digits: int = 4) -> str:
+    scale = f"CAST({10 ** digits} AS DOUBLE)"
+    return f"(CAST(sum(CAST(round(({expr}) * {scale}) AS BIGINT)) AS DOUBLE) / {scale})"
 
 
 def half_chord(lat1, lon1, lat2, lon2) -> str:

@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def steady_avg(x: str) -> Column:
-    """Average of a measurement with up to four decimals.
+def steady_avg(x: str, digits: int = 4) -> Column:
+    """Average of a measurement with up to ``digits`` decimals.
 
-    The sum runs over whole ten-thousandths, so it is exact and a retried or differently merged task
-    cannot change the last digit. Overflow raises an error instead of wrapping.
+    The sum runs over whole units of the last decimal, so it is exact and a retried or differently merged
+    task cannot change the result. Overflow raises an error instead of wrapping. Four decimals hold every
+    field of a report; averages of derived values take six.
     """
-    units = f"sum(CAST(round(({x}) * 10000D) AS BIGINT))"
-    return F.expr(f"try_divide(CAST({units} AS DOUBLE), count({x}) * 10000D)")
+    scale = f"{10 ** digits}D"
+    units = f"sum(CAST(round(({x}) * {scale}) AS BIGINT))"
+    return F.expr(f"try_divide(CAST({units} AS DOUBLE), count({x}) * {scale})")
 
 
-def steady_sum(x: str) -> Column:
-    return F.expr(f"CAST(sum(CAST(round(({x}) * 10000D) AS BIGINT)) AS DOUBLE) / 10000D")
+def steady_sum(x: str, digits: int = 4) -> Column:
+    scale = f"{10 ** digits}D"
+    return F.expr(f"CAST(sum(CAST(round(({x}) * {scale}) AS BIGINT)) AS DOUBLE) / {scale}")

@@ -14,11 +14,13 @@ _RULES = {
     "truncated": "CAST(({x}) / {w}D AS BIGINT)",
     "floor": "CAST(floor(({x}) / {w}D) AS BIGINT)",
     "half_even": "CAST(bround(({x}) / {w}D) AS BIGINT)",
+    "tenths": "CAST(round(round({x}, 1) * 10D) AS BIGINT)",
 }
 
 
 def index(x: str, width: float = 0.1, rule: str = "nearest") -> Column:
-    """Whole-number cell: ``nearest``, ``truncated`` (toward zero), ``floor`` or ``half_even``."""
+    """Whole-number cell: ``nearest``, ``truncated`` (toward zero), ``floor``, ``half_even``, or
+    ``tenths`` (the decimal form rounded to one place)."""
     return F.expr(_RULES[rule].format(x=x, w=width))
 
 

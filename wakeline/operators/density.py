@@ -100,8 +100,8 @@ def raw_track_density(track: DataFrame, top: int = 1000) -> DataFrame:
     """Fallback heat map straight from track rows: other thresholds, weight relative to the busiest cell."""
     counted = (
         track.groupBy(
-            cells.index("lat", CELL).alias("__lat"),
-            cells.index("lon", CELL).alias("__lon"),
+            cells.index("lat", CELL, "tenths").alias("__lat"),
+            cells.index("lon", CELL, "tenths").alias("__lon"),
         )
         .agg(F.count("*").alias("vessel_count"), steady_avg("sog").alias("avg_sog"))
     )
@@ -144,8 +144,8 @@ def heat_weight(df: DataFrame, count: str = "vessel_count") -> DataFrame:
 def peak_hours(density: DataFrame, min_vessels: int = 1) -> DataFrame:
     """The busiest hour of every cell; ties go to the earliest hour, then to the first split by name."""
     ranked = density.filter(F.col("vessel_count") >= min_vessels).select(
-        F.round(F.col("lat_bin") * 10).cast("bigint").alias("__lat"),
-        F.round(F.col("lon_bin") * 10).cast("bigint").alias("__lon"),
+        cells.index("lat_bin", CELL, "tenths").alias("__lat"),
+        cells.index("lon_bin", CELL, "tenths").alias("__lon"),
         F.struct("vessel_count", "avg_sog", "congestion_level", "hour_bucket", "data_split").alias("__row"),
         F.struct(
             -F.col("vessel_count"), F.col("hour_bucket"), F.col("data_split")

@@ -75,7 +75,7 @@ def weekly_trend(daily: DataFrame) -> DataFrame:
             F.sum("anomaly_count").alias("total_anomalies"),
             F.sum("high_risk_count").alias("total_high_risk"),
             F.sum("collision_alerts").alias("total_collisions"),
-            F.round(steady_avg("avg_sog"), 2).alias("avg_fleet_speed"),
+            F.round(steady_avg("avg_sog", 6), 2).alias("avg_fleet_speed"),
         )
         .orderBy(F.desc("week_start"))
     )
