@@ -1,3 +1,9 @@
 """Imports every group of cases, which registers them."""
 
-from checks import cases_aggregates, cases_functions, cases_projections  # noqa: F401
+from checks import (  # noqa: F401
+    cases_aggregates,
+    cases_functions,
+    cases_joins,
+    cases_projections,
+    cases_windows,
+)

@@ -30,7 +30,7 @@ def total(expr: str, digits: int = 4) -> str:
 
 def half_chord(lat1, lon1, lat2, lon2) -> str:
     n, e = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lon2} - {lon1}) / 2)"
-    return f"least(CAST(1 AS DOUBLE), {n} * {n} + cos(radians({lat1})) * cos(radians({lat2})) * {e} * {e})"
+    return f"({n} * {n} + cos(radians({lat1})) * cos(radians({lat2})) * {e} * {e})"
 
 
 def haversine(lat1, lon1, lat2, lon2) -> str:

@@ -63,6 +63,19 @@ def motion_features(df: DataFrame, prev: str = "prev") -> DataFrame:
     }).drop(prev)
 
 
+def notebook_motion(rows: DataFrame) -> DataFrame:
+    """The other form of the deltas: signed turn, unrounded distance, fine cells cut toward zero."""
+    linked = tracks.with_neighbour(rows, MOTION_FIELDS)
+    return linked.withColumns({
+        "sog_change": F.expr("sog - prev.sog"),
+        "heading_change": geo.turn_signed("heading", "prev.heading"),
+        "time_delta_sec": step_seconds("prev"),
+        "distance_nm": geo.haversine_nm("prev.lat", "prev.lon", "lat", "lon"),
+        "lat_bin_fine": cells.coordinate("lat", 0.01, "truncated"),
+        "lon_bin_fine": cells.coordinate("lon", 0.01, "truncated"),
+    }).drop("prev")
+
+
 def with_labels(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "vessel_type_label": labels.vessel_type_cleaned("vessel_type"),
