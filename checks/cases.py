@@ -5,5 +5,6 @@ from checks import (  # noqa: F401
     cases_functions,
     cases_joins,
     cases_projections,
+    cases_streaming,
     cases_windows,
 )

@@ -16,7 +16,6 @@ def build_session(app: str = "wakeline", master: str | None = None, **conf: str)
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.timestampType": "TIMESTAMP_NTZ",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
