@@ -6,5 +6,6 @@ from checks import (  # noqa: F401
     cases_joins,
     cases_projections,
     cases_streaming,
+    cases_tables,
     cases_windows,
 )
