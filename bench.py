@@ -14,12 +14,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import checks.cases  # noqa: E402, F401
+from checks.cases_streaming import all_messages  # noqa: E402
 from checks.registry import QUERIES, Tables  # noqa: E402
 from wakeline.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-BUILD = ("silver", "newest", "density", "alerts", "weather")
+BUILD = ("reports", "bronze", "silver", "newest", "density", "alerts", "weather")
 HEADLINE = (
     "prj_03_batch_gate", "prj_06_physical_validity", "prj_18_track", "prj_20_recent_alerts", "wn_01_previous_position",
     "wn_03_motion_features", "wn_06_forward_fill", "wn_07_latest_per_vessel", "wn_08_dedup_exact", "wn_11_future_position",
@@ -46,6 +47,9 @@ def main() -> None:
         start = time.perf_counter()
         getattr(tables, name)
         seconds[f"build_{name}"] = round(time.perf_counter() - start, 3)
+    start = time.perf_counter()
+    all_messages(tables)
+    seconds["build_messages"] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
         start = time.perf_counter()
         QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()

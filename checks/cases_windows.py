@@ -77,7 +77,7 @@ def _(t):
 
 @case("wn_07_latest_per_vessel", sql.over("SELECT * EXCLUDE (is_stopped, is_slow, is_speeding) FROM newest"))
 def _(t):
-    extra = ("is_stopped", "is_slow", "is_speeding", "event_time", "ingestion_time", "hour")
+    extra = ("is_stopped", "is_slow", "is_speeding", "hour")
     return tracks.latest_per_vessel(t.silver, ("base_datetime",)).drop(*extra)
 
 

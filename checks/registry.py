@@ -36,9 +36,18 @@ class Tables:
     def as_of(self):
         return F.lit(AS_OF).cast("timestamp_ntz")
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table of the pipeline, written once per session and data folder, then read by its consumers."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            _STORED[key] = materialise(build(), name)
+        return _STORED[key]
+
     @cached_property
     def reports(self) -> DataFrame:
-        return testbed.reports(self.spark, self.sf_dir)
+        """The landed reports, one file per core, as a day's load would arrive in many files."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return self.stored("reports", lambda: testbed.reports(self.spark, self.sf_dir).repartition(cores))
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -48,14 +57,7 @@ class Tables:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return bronze_plan.bronze(self.reports)
-
-    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table of the pipeline, written once per session and data folder, then read by its consumers."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _STORED:
-            _STORED[key] = materialise(build(), name)
-        return _STORED[key]
+        return self.stored("bronze", lambda: bronze_plan.bronze(self.reports))
 
     @cached_property
     def silver(self) -> DataFrame:

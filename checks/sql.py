@@ -19,13 +19,13 @@ def dec(expr: str, digits: int) -> str:
 def avg(expr: str, digits: int = 4) -> str:
     """Average over exact units of the last decimal."""
     scale = f"CAST({10 ** digits} AS DOUBLE)"
-    units = f"sum(CAST(round(({expr}) * {scale}) AS BIGINT))"
+    units = f"sum(CAST(round_even(({expr}) * {scale}, 0) AS BIGINT))"
     return f"(CAST({units} AS DOUBLE) / nullif(count({expr}) * {scale}, 0))"
 
 
 def total(expr: str, digits: int = 4) -> str:
     scale = f"CAST({10 ** digits} AS DOUBLE)"
-    return f"(CAST(sum(CAST(round(({expr}) * {scale}) AS BIGINT)) AS DOUBLE) / {scale})"
+    return f"(CAST(sum(CAST(round_even(({expr}) * {scale}, 0) AS BIGINT)) AS DOUBLE) / {scale})"
 
 
 def half_chord(lat1, lon1, lat2, lon2) -> str:

@@ -14,10 +14,10 @@ def steady_avg(x: str, digits: int = 4) -> Column:
     field of a report; averages of derived values take six.
     """
     scale = f"{10 ** digits}D"
-    units = f"sum(CAST(round(({x}) * {scale}) AS BIGINT))"
+    units = f"sum(CAST(rint(({x}) * {scale}) AS BIGINT))"
     return F.expr(f"try_divide(CAST({units} AS DOUBLE), count({x}) * {scale})")
 
 
 def steady_sum(x: str, digits: int = 4) -> Column:
     scale = f"{10 ** digits}D"
-    return F.expr(f"CAST(sum(CAST(round(({x}) * {scale}) AS BIGINT)) AS DOUBLE) / {scale}")
+    return F.expr(f"CAST(sum(CAST(rint(({x}) * {scale}) AS BIGINT)) AS DOUBLE) / {scale}")

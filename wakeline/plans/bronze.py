@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wakeline import config as C
 from wakeline.config import DEFAULTS, Thresholds
@@ -54,7 +55,9 @@ def with_risk(df: DataFrame, t: Thresholds = DEFAULTS, boxes=C.PORT_BOXES) -> Da
 
 def time_columns(df: DataFrame, source: str = "base_datetime") -> DataFrame:
     """event_time, ingestion_time and date parts; unreadable times give nulls."""
-    at = F.coalesce(F.col(source).try_cast("timestamp_ntz"), cleaning.report_time(source))
+    at = F.col(source)
+    if isinstance(df.schema[source].dataType, StringType):
+        at = F.coalesce(at.try_cast("timestamp_ntz"), cleaning.report_time(source))
     return df.withColumns({
         "event_time": at,
         "ingestion_time": F.localtimestamp(),

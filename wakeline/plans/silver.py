@@ -89,16 +89,21 @@ def clean(reports: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def silver(bronze: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """The full Silver table from gated Bronze rows."""
-    rows = with_labels(clean(bronze, t))
+    """The full Silver table from gated Bronze rows.
+
+    What can be derived again is not carried through the exchanges: date parts and labels are added at the
+    end, and the two ingest times are no part of Silver.
+    """
+    rows = clean(bronze.drop("event_time", "ingestion_time", "year", "month", "day", "hour"), t)
     rows = tracks.link_plausible(
         rows, MOTION_FIELDS, lambda a, b: no_teleport(a, b, t), fill=("vessel_name", "vessel_type", "imo")
     )
-    rows = motion_features(rows).dropna(subset=["time_delta_sec", "distance_nm"])
+    rows = with_labels(motion_features(rows).dropna(subset=["time_delta_sec", "distance_nm"]))
     at = F.col("base_datetime")
     return rows.withColumns({
         "data_split": labels.data_split_by_day("base_datetime", t),
         "year": F.year(at),
         "month": F.month(at),
         "day": F.dayofmonth(at),
+        "hour": F.hour(at),
     })

@@ -67,7 +67,7 @@ def hourly_density(stream: DataFrame, delay: str = "1 hour", width: float = 0.1)
         .agg(
             F.count("*").alias("vessel_count"),
             F.approx_count_distinct("mmsi").alias("approx_vessels"),
-            F.sum(F.expr("CAST(round(sog * 10000D) AS BIGINT)")).alias("sog_units"),
+            F.sum(F.expr("CAST(rint(sog * 10000D) AS BIGINT)")).alias("sog_units"),
             F.count_if(F.col("sog") < DEFAULTS.stopped_kn).alias("stopped_count"),
         )
         .select(
