@@ -157,9 +157,7 @@ def _(t):
 
 @case("ml_10_weather_challenger")
 def _(t):
-    target = timesplit.next_hour_target(_cellhours(t)).withColumn(
-        "future_congestion", F.when(F.col("stopped_count") > 0, "MEDIUM").otherwise(F.col("future_congestion")))
-    rows = materialise(target, "challenger")
+    rows = materialise(timesplit.next_hour_target(_cellhours(t)), "challenger")
     return supervised.weather_challenger(
         rows.drop("lat_cell", "lon_cell"), lambda df: weather.with_weather(df, t.weather), trees=20, depth=5)
 

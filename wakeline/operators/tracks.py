@@ -93,31 +93,36 @@ def with_row_ahead(
 ) -> DataFrame:
     """Adds struct ``name`` with ``fields`` of the row ``steps`` further on the same track, else null.
 
-    Within a day this is a plain ``lead``. Only the last ``steps`` rows of each vessel-day look into
-    later days; they are matched by running row position with the first ``steps`` rows of the days.
+    Within a day this is a plain ``lead``. The last ``steps`` rows of a day look past midnight: the day
+    summary holds the first ``steps`` rows of each day, and from them the ``steps`` rows that follow each
+    day. As no listed day is empty, at most ``steps`` later days are needed.
     """
-    rows = (
-        _days(df)
-        .withColumn(name, F.lead(_packed(fields), steps).over(_in_day(order)))
-        .withColumn("__rn", F.row_number().over(_in_day(order)))
-    )
-    sizes = rows.groupBy(KEY, DAY).agg(F.count("*").alias("__n"))
-    earlier = _over_days().rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        KEY, DAY, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")
-    )
-    inside = rows.filter(F.col(name).isNotNull()).drop("__rn", DAY)
-    placed = rows.join(offsets, [KEY, DAY]).withColumn("__pos", F.col("__rn") + F.col("__offset"))
-    heads = placed.filter(F.col("__rn") <= steps).select(
-        KEY, (F.col("__pos") - steps).alias("__pos"), _packed(fields).alias("__target")
-    )
-    crossing = (
-        placed.filter(F.col(name).isNull())
-        .join(heads, [KEY, "__pos"], "left")
-        .withColumn(name, F.col("__target"))
-        .drop("__target", "__pos", "__rn", "__offset", DAY)
+    packed = _packed(fields)
+    w = _in_day(order)
+    rows = _days(df)
+    heads = (
+        rows.select(KEY, DAY, packed.alias("__f"), F.row_number().over(w).alias("__rn"))
+        .filter(F.col("__rn") <= steps)
+        .groupBy(KEY, DAY).agg(F.array_sort(F.collect_list(F.struct("__rn", "__f"))).alias("__head"))
+    )
+    later = _over_days().rowsBetween(1, steps)
+    carry = heads.select(
+        KEY, DAY,
+        F.slice(F.flatten(F.collect_list(F.col("__head.__f")).over(later)), 1, steps).alias("__following"),
+    )
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    beyond = F.col("__rn") + steps - F.col("__n")
+    return (
+        rows.withColumns({
+            name: F.lead(packed, steps).over(w), "__rn": F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole),
+        })
+        .join(carry, [KEY, DAY], "left")
+        .withColumn(
+            name,
+            F.when(beyond <= 0, F.col(name)).otherwise(F.try_element_at("__following", beyond.cast("int"))),
+        )
+        .drop("__rn", "__n", "__following", DAY)
     )
-    return inside.unionByName(crossing)
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], order: Sequence[str] = (TIME,)) -> DataFrame:

@@ -64,10 +64,11 @@ def rule_labels(rows: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 def normalise_scores(rows: DataFrame, raw: str = "raw_score", low: float | None = None, high: float | None = None) -> DataFrame:
     """Raw outlier scores (higher = more normal) to 0..1 (1 = most abnormal).
 
-    Without ``low``/``high`` the range of this batch is used, read by scalar subqueries.
+    Without ``low``/``high`` the range of this batch is used, read by a scalar subquery.
     """
-    lo = rows.agg(F.min(raw)).scalar() if low is None else F.lit(low)
-    hi = rows.agg(F.max(raw)).scalar() if high is None else F.lit(high)
+    span = rows.agg(F.struct(F.min(raw).alias("lo"), F.max(raw).alias("hi"))).scalar()
+    lo = span["lo"] if low is None else F.lit(low)
+    hi = span["hi"] if high is None else F.lit(high)
     return rows.withColumn("norm", 1 - (F.col(raw) - lo) / (hi - lo + F.lit(1e-9)))
 
 

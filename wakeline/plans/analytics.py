@@ -210,10 +210,9 @@ def share(df: DataFrame, column: str) -> DataFrame:
 def speed_histogram(rows: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width bins between the smallest and the largest speed, empty bins left out."""
     known = rows.filter(F.col("sog").isNotNull()).groupBy("sog").agg(F.count("*").alias("n"))
-    low = known.agg(F.min("sog")).scalar()
-    high = known.agg(F.max("sog")).scalar()
+    span = known.agg(F.struct(F.min("sog").alias("low"), F.max("sog").alias("high"))).scalar()
     placed = known.withColumn(
-        "bin", F.least(F.width_bucket("sog", low, high, F.lit(bins)), F.lit(bins).cast("bigint"))
+        "bin", F.least(F.width_bucket("sog", span["low"], span["high"], F.lit(bins)), F.lit(bins).cast("bigint"))
     )
     return placed.groupBy("bin").agg(
         F.sum("n").alias("count"), F.min("sog").alias("min_sog"), F.max("sog").alias("max_sog")
