@@ -133,3 +133,22 @@ def test_density_merges_on_the_map_side(tables):
 
     plan = density.traffic_density(tables.silver)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_scores_equal_a_walk_through_the_nodes(cluster):
+    fitted = isolation_forest.fit(cluster, ("x", "y"), trees=6)
+    scored = isolation_forest.with_raw_score(cluster, fitted).toPandas()
+
+    def walk(row):
+        total = 0.0
+        for _, nodes in fitted.nodes.groupby("tree"):
+            table = nodes.set_index("node")
+            node = table.loc[0]
+            while node["feature"] >= 0:
+                value = (row["x"], row["y"])[int(node["feature"])]
+                node = table.loc[int(node["left"] if value <= node["threshold"] else node["right"])]
+            total += node["depth"] + float(isolation_forest.average_path(node["size"]))
+        return -(2 ** (-(total / 6) / float(isolation_forest.average_path(256))))
+
+    for i in (0, 17, 300, 600):
+        assert scored.loc[i, "raw_score"] == pytest.approx(walk(scored.loc[i]))

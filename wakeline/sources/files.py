@@ -11,6 +11,9 @@ from wakeline import config as C
 from wakeline.functions import cells, cleaning, labels
 from wakeline.plans import bronze
 
+SAMPLE_BUCKETS = 1 << 20
+BROADCAST_FILES = 100_000
+
 
 def read_days(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw CSV reports as text columns under their canonical names, with the name of the file.
@@ -146,18 +149,32 @@ def capped_sample(
 ) -> DataFrame:
     """At most ``max_rows / number of files`` rows of every file, chosen by a seeded hash of their identity.
 
-    The choice is the same on every run and for every partitioning. Rows beyond the cap are cut per map
-    task before the exchange (group limit).
+    The choice is the same on every run and for every partitioning. A file's rows are never ordered as a
+    whole, however many it holds: hash buckets are counted, whole buckets are taken up to the cap, and only
+    the rows of the bucket at the edge are ranked. The identity must be unique, as it is in Silver.
     """
     from pyspark.sql import Window
 
     files = max(df.select(file).distinct().count(), 1)
+    cap = max_rows // files
     rows = df if split is None else df.filter(F.col("data_split") == split)
-    w = Window.partitionBy(file).orderBy(F.xxhash64(*identity, F.lit(seed)), *identity)
+    placed = rows.withColumn("__bucket", F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(SAMPLE_BUCKETS)))
+    upto = Window.partitionBy(file).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    edges = (
+        placed.groupBy(file, "__bucket").agg(F.count("*").alias("__n"))
+        .withColumn("__before", F.sum("__n").over(upto) - F.col("__n"))
+        .filter(F.col("__before") < cap)
+        .groupBy(file).agg(F.max("__bucket").alias("__edge"), (cap - F.max("__before")).alias("__room"))
+    )
+    if files <= BROADCAST_FILES:
+        edges = F.broadcast(edges)
+    within = Window.partitionBy(file, "__bucket").orderBy(*identity)
     return (
-        rows.withColumn("__rn", F.row_number().over(w))
-        .filter(F.col("__rn") <= max_rows // files)
-        .drop("__rn")
+        placed.join(edges, file)
+        .filter(F.col("__bucket") <= F.col("__edge"))
+        .withColumn("__rn", F.row_number().over(within))
+        .filter((F.col("__bucket") < F.col("__edge")) | (F.col("__rn") <= F.col("__room")))
+        .select(*df.columns)
     )
 
 
