@@ -55,12 +55,12 @@ def _(t):
     return bronze.batch_gate(t.reports).select(*REPORT_COLUMNS)
 
 
-@case("prj_04_notebook_gate", sql.over(f"""
+@case("prj_04_loose_gate", sql.over(f"""
 SELECT {REPORT} FROM ais WHERE mmsi IS NOT NULL AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180
   AND sog >= 0 AND sog <= 60"""))
 def _(t):
     text = t.reports.withColumns({c: F.col(c).cast("string") for c in ("lat", "lon", "sog")})
-    kept = bronze.notebook_gate(text)
+    kept = bronze.loose_gate(text)
     return kept.withColumns({c: F.col(c).cast("double") for c in ("lat", "lon", "sog")}).select(*REPORT_COLUMNS)
 
 

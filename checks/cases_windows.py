@@ -215,12 +215,12 @@ def _(t):
 _SIGNED = "CASE WHEN h > 180 THEN h - 360 WHEN h < -180 THEN h + 360 ELSE h END"
 
 
-@case("wn_21_notebook_motion", sql.over(f"""
+@case("wn_21_signed_motion", sql.over(f"""
 SELECT {KEYS}, sog - prev_sog AS sog_change, {_SIGNED} AS heading_change, {sql.SECONDS} AS time_delta_sec,
   {_STEP} AS distance_nm, {sql.truncated("lat", "0.01")} AS lat_bin_fine, {sql.truncated("lon", "0.01")} AS lon_bin_fine
 FROM (SELECT *, heading - prev_heading AS h FROM ({sql.lagged('clean')}))"""))
 def _(t):
-    moved = silver.notebook_motion(t.clean)
+    moved = silver.signed_motion(t.clean)
     return moved.select(
         *KEYS.split(", "), "sog_change", "heading_change", "time_delta_sec",
         F.round("distance_nm", 6).alias("distance_nm"), "lat_bin_fine", "lon_bin_fine")

@@ -27,7 +27,7 @@ def batch_gate(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def notebook_gate(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def loose_gate(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """The looser gate: values are cast first, zero positions and an empty key pass."""
     lat, lon, sog = (F.col(c).try_cast("double") for c in ("lat", "lon", "sog"))
     return df.filter(

@@ -63,7 +63,7 @@ def motion_features(df: DataFrame, prev: str = "prev") -> DataFrame:
     }).drop(prev)
 
 
-def notebook_motion(rows: DataFrame) -> DataFrame:
+def signed_motion(rows: DataFrame) -> DataFrame:
     """The other form of the deltas: signed turn, unrounded distance, fine cells cut toward zero."""
     linked = tracks.with_neighbour(rows, MOTION_FIELDS)
     return linked.withColumns({
