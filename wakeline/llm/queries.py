@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import winnowing
+from wakeline.llm import near_dedup, winnowing
 from wakeline.llm.sql import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

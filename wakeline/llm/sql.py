@@ -29,3 +29,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)
 """
+
+ORACLES["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, w[p : p + n - 1] AS s
+  FROM (SELECT doc_id, w, least(len(w), 5) AS n, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM edges UNION SELECT node, b FROM reach JOIN edges ON seen = a),
+lowest AS (SELECT node, min(seen) AS low FROM reach GROUP BY node)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id,
+       w.doc_id <= coalesce(low, w.doc_id) AS kept
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN lowest ON node = w.doc_id
+"""
