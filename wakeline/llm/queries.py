@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import near_dedup, winnowing
+from wakeline.llm import (
+    language_id, length_buckets, near_dedup, separator_scan, suffix_intervals, suffix_trees, weak_supervision, winnowing,
+)
 from wakeline.llm.sql import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,11 +23,41 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op2_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_supervision.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separator_scan.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_segmentation_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_intervals.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -21,6 +21,16 @@ def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands Python at most about 8 MB at once; rows alone do not bound long texts."""
+    conf = df.sparkSession.conf
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+    now = conf.get(name, None)
+    if now is None or not now.isdigit() or int(now) > most:
+        conf.set(name, str(most))
+    return df
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     """Size of all texts: one scan of one column, one number."""
     return df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0

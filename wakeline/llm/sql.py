@@ -49,3 +49,46 @@ SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, c
        w.doc_id <= coalesce(low, w.doc_id) AS kept
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN lowest ON node = w.doc_id
 """
+
+ORACLES["op2_suffix_trees"] = r"""
+WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, w[p : p + 12] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words)),
+lowest AS (SELECT win, min(doc_id) AS low FROM windows GROUP BY win),
+hit AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM windows JOIN lowest USING (win) WHERE low < doc_id),
+runs AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (p <> before + 1 OR before IS NULL) AS n_spans, list(p) AS gone
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words) ANTI JOIN hit USING (doc_id, p)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM words LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op9_suffix_intervals"] = r"""
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS win
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM bytes)),
+lowest AS (SELECT win, min(doc_id) AS low FROM windows GROUP BY win),
+repeat AS (SELECT doc_id, p FROM windows JOIN lowest USING (win) WHERE low < doc_id),
+starts AS (
+  SELECT doc_id, p, max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM repeat),
+numbered AS (
+  SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM starts),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY ALL),
+edges AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM spans),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS pieces
+  FROM edges JOIN bytes USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(pieces, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)
+"""
