@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import (
-    language_id, length_buckets, near_dedup, separator_scan, suffix_intervals, suffix_trees, weak_supervision, winnowing,
+    language_id, length_buckets, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees, weak_supervision, winnowing,
 )
 from wakeline.llm.sql import ORACLES
 
@@ -22,6 +22,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     QUERIES[function.__name__] = function
     return function
 
+#: The key of the registered query; a real run takes its own from a secret store.
+EXAMPLE_KEY = "an example, not a secret"
+
+
+@query
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"), EXAMPLE_KEY)
+
 
 @query
 def op2_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
