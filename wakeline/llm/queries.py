@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import (
-    language_id, length_buckets, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees, weak_supervision, winnowing,
+    language_id, length_buckets, license_digest, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
+    weak_supervision, winnowing,
 )
 from wakeline.llm.sql import ORACLES
 
@@ -41,6 +42,11 @@ def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,5 +1,8 @@
 """DuckDB text of the queries that SQL can express."""
 
+from wakeline.llm.license_digest import COPYRIGHT_LINE, LICENCE_WORD, SPELLINGS
+from wakeline.llm.license_texts import KNOWN
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op10_winnowing"] = r"""
@@ -92,3 +95,28 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
        sha256(unhex(coalesce(pieces, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM bytes LEFT JOIN kept USING (doc_id)
 """
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def canonical(text: str) -> str:
+    out = f"regexp_replace(lower({text}), {quoted(COPYRIGHT_LINE)}, ' ', 'g')"
+    for pattern, word in SPELLINGS:
+        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(word.replace('$', chr(92)))}, 'g')"
+    return rf"sha256(trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')))"
+
+
+ORACLES["op4_license_digests"] = rf"""
+WITH texts(license, t) AS (VALUES {", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in KNOWN)}),
+known AS (SELECT d, min(license) AS license FROM (SELECT license, {canonical("t")} AS d FROM texts) GROUP BY d),
+lines AS (
+  SELECT doc_id, unnest(l) AS t, CAST(unnest(range(1, len(l) + 1)) AS BIGINT) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+units AS (
+  SELECT doc_id, CAST(0 AS BIGINT) AS line, {canonical("coalesce(text, '')")} AS canonical_sha256 FROM documents
+  UNION ALL SELECT doc_id, line, {canonical("t")} FROM lines WHERE regexp_matches(t, {quoted(LICENCE_WORD)}))
+SELECT doc_id, line, canonical_sha256, license FROM units LEFT JOIN known ON d = canonical_sha256
+WHERE line = 0 OR license IS NOT NULL
+"""

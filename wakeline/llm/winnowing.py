@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wakeline.llm.rows import free_name, parts_of
+from wakeline.llm.rows import free_name, parts_of, small_batches
 from wakeline.llm.text import ALNUM, Slice, column, covered, gram_hash, runs, slices
 
 SIZE, GRAM = 10, 5
@@ -181,7 +181,7 @@ def annotate(
         raise ValueError(f"documents has a column {result}; choose another result name")
     keep = documents.columns if keep is None else keep
     found = list(blocks(benchmark, item_id, item_text, block_bytes))
-    out = documents
+    out = small_batches(documents)
     for k, (ids, texts) in enumerate(found):
         names = keep if k == len(found) - 1 else documents.columns
         schema = T.StructType([*(documents.schema[c] for c in names), T.StructField(result, RESULT)])
