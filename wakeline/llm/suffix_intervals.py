@@ -13,8 +13,9 @@ long prefix with any other. So suffixes are first sent where their relatives are
    id than the smallest in its interval is a repeat. Texts are compared as bytes; hashes only send them.
 4. The batch marks the bytes its repeats cover.
 
-:func:`maximal_repeats` goes the whole way up the tree: it scans the array with a stack and reports the intervals whose
-occurrences differ in the byte to the left, each with all its occurrences.
+:func:`maximal_repeats` looks at the tree below that cut: it scans the array with a stack, and reports the intervals whose
+occurrences differ in the byte to the left as well, each with all its occurrences. A bucket then holds every occurrence
+of its strings, which the removal does not need.
 
 Defined cases: a null text is empty; texts shorter than ``size`` lose nothing; rows without an id neither lose bytes nor
 count as an earlier document; rows that repeat an id do not remove one another's bytes, and each has its result row.
@@ -274,6 +275,103 @@ def repeats(
     )
 
 
+def ask_occurrences(size: int, gram: int, buckets: int, places: int, depth: int):
+    """Every occurrence of a candidate segment, with ``depth`` bytes from its last string on, and the byte before it."""
+
+    def ask(key: tuple[pa.Scalar, ...], group: pa.Table, answers: pa.Table) -> pa.Table:
+        batch = Batch(group, size, gram)
+        batch.repeated(dict(blob_rows(answers, "bucket", "blob")), buckets)
+        rows = []
+        for part, first, n, anchor, rank in batch.candidates():
+            data = part.data.tobytes()
+            text = np.searchsorted(part.offsets, first, side="right") - 1
+            begin, end = part.offsets[text], part.offsets[text + 1]
+            stop = np.minimum(first + n - 1 + depth, end)
+            left = np.where(first > begin, part.data[np.maximum(first - 1, 0)].astype(np.int32), -1)
+            for k, places_here in by_bucket((anchor % np.uint64(places)).astype(np.int64)):
+                texts = [data[first[i] : stop[i]] for i in places_here]
+                rows.append((key[0].as_py(), 3, k, pack(
+                    (stop - first)[places_here], n[places_here], left[places_here], batch.ids[rank[places_here]],
+                    (first - begin)[places_here], np.frombuffer(b"".join(texts), np.uint8),
+                )))
+        return table(_ASKED, rows)
+
+    return ask
+
+
+def common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+
+
+def intervals(prefixes: list[int], lefts: list[int], least: int) -> Iterator[tuple[int, int, int]]:
+    """Depth, first and last place of the intervals of depth ``least`` or more whose left bytes differ.
+
+    ``prefixes[i]`` is what place ``i`` has in common with the one before it, ``lefts`` are the bytes to the left. The
+    stack holds the open intervals with the left bytes seen in them; a closed one hands its bytes to the one around it.
+    """
+    stack: list[tuple[int, int, set[int]]] = []
+    for place in range(1, len(prefixes) + 1):
+        depth = prefixes[place] if place < len(prefixes) else 0
+        first, seen = place - 1, {lefts[place - 1]}
+        while stack and stack[-1][0] > depth:
+            top, first, inside = stack.pop()
+            seen |= inside
+            if len(seen) > 1:
+                yield top, first, place - 1
+        if depth >= least:
+            if stack and stack[-1][0] == depth:
+                stack[-1][2].update(seen)
+            else:
+                stack.append((depth, first, seen))
+
+
+def groups(size: int, depth: int):
+    def group_rows(table_: pa.Table) -> pa.Table:
+        found = []
+        for (blob,) in blob_rows(table_, "blob"):
+            length, n, left, ids, starts, data = unpack(blob)
+            raw, end = data.tobytes(), np.cumsum(length)
+            for a, b, m, c, i, s in zip(*(x.tolist() for x in (end - length, end, n, left, ids, starts)), strict=True):
+                for k in range(m):
+                    found.append((raw[a + k : min(b, a + k + depth)], i, s + k, raw[a + k - 1] if k else c))
+        found.sort()
+        # the start of a text is like no other byte
+        lefts = [-1 - k if x[3] < 0 else x[3] for k, x in enumerate(found)]
+        prefixes = [0, *(common(x[0], y[0]) for x, y in zip(found, found[1:], strict=False))]
+        rows = []
+        for deep, lo, hi in intervals(prefixes, lefts, size):
+            if len({x[1] for x in found[lo : hi + 1]}) > 1:
+                rows += [(found[lo][0][:deep], deep, deep == depth, x[1], x[2]) for x in found[lo : hi + 1]]
+        return table(
+            {"repeat": pa.binary(), "n_bytes": pa.int32(), "cut": pa.bool_(), "doc_id": pa.int64(), "start": pa.int64()}, rows
+        )
+
+    return group_rows
+
+
+def maximal_repeats(
+    documents: DataFrame, size: int = SIZE, gram: int = GRAM, depth: int = 4 * SIZE, batch_bytes: int = BATCH_BYTES,
+    anchor_bytes: int = ANCHOR_BYTES, segment_bytes: int = SEGMENT_BYTES,
+) -> DataFrame:
+    """A row for each occurrence of each maximal repeat of ``size`` bytes or more that several documents share.
+
+    ``start`` is the byte at which it starts. What is longer than ``depth`` is reported at that depth, as ``cut``.
+    """
+    texts, total = dealt(documents, batch_bytes)
+    buckets, places = parts_of(total, anchor_bytes), parts_of(total, segment_bytes)
+    batches = texts.groupBy("batch")
+    anchors = batches.applyInArrow(ask_anchors(size, gram, buckets), _SPARK_ASKED)
+    known = anchors.groupBy("bucket").applyInArrow(answer_anchors, _SPARK_ASKED)
+    asked = batches.cogroup(known.groupBy("batch")).applyInArrow(ask_occurrences(size, gram, buckets, places, depth), _SPARK_ASKED)
+    return asked.groupBy("bucket").applyInArrow(
+        groups(size, depth), "repeat binary, n_bytes int, cut boolean, doc_id long, start long"
+    )
+
+
 def report(documents: DataFrame) -> DataFrame:
     return repeats(documents).select(
         "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256"
