@@ -260,7 +260,7 @@ SELECT lat, lon, vessel_count, coalesce(avg_sog, 0) AS avg_sog, {sql.level("vess
   SELECT {dec("lat", 1)} AS lat, {dec("lon", 1)} AS lon, count(*) AS vessel_count, {avg("sog")} AS avg_sog
   FROM silver GROUP BY 1, 2 ORDER BY vessel_count DESC, 1, 2 LIMIT 1000)"""))
 def _(t):
-    return density_ops.raw_track_density(t.silver)
+    return density_ops.raw_track_density(t.silver, 1000)
 
 
 @case("ag_22_live_heat", sql.over(f"""

@@ -195,7 +195,7 @@ _HEADING = "coalesce(nullif(heading, 0), nullif(cog, 0), 0)"
 SELECT mmsi, vessel_name, vessel_type, {_RANGES} AS vessel_type_label, lat, lon, sog, cog, {_HEADING} AS heading, risk_level,
   is_anomaly, anomaly_score, anomaly_type, predicted_lat, predicted_lon, updated_at
 FROM latest WHERE (sog IS NULL OR sog BETWEEN 0.5 AND 25) AND risk_level <> 'HIGH' AND risk_level = 'LOW'
-  AND is_anomaly = false AND data_split = 'live' ORDER BY mmsi LIMIT 2000"""))
+  AND is_anomaly = false AND data_split = 'live' ORDER BY mmsi"""))
 def _(t):
     return queries.vessels(t.latest, risk_level="LOW", min_sog=0.5, max_sog=25.0, is_anomaly=False, data_split="live")
 
@@ -208,14 +208,14 @@ def _(t):
 
 @case("prj_17_search", sql.over("""
 SELECT * FROM latest WHERE (mmsi ILIKE '%sel-1%' OR vessel_name ILIKE '%sel-1%') AND sog BETWEEN 0 AND 60
-  AND risk_level = 'LOW' ORDER BY mmsi LIMIT 100"""))
+  AND risk_level = 'LOW' ORDER BY mmsi"""))
 def _(t):
     return queries.search(t.latest, "SEL-1", risk_level="LOW")
 
 
 @case("prj_18_track", sql.over(f"""
 SELECT {REPORT} FROM silver WHERE mmsi = '360000007' AND base_datetime >= TIMESTAMP '2024-01-03 00:00:00'
-  AND base_datetime <= TIMESTAMP '2024-01-25 12:00:00' AND data_split = 'live' ORDER BY base_datetime LIMIT 5000"""))
+  AND base_datetime <= TIMESTAMP '2024-01-25 12:00:00' AND data_split = 'live' ORDER BY base_datetime"""))
 def _(t):
     at = lambda s: F.lit(s).cast("timestamp_ntz")
     return queries.track(t.silver, "360000007", at("2024-01-03 00:00:00"), at("2024-01-25 12:00:00"), "live").select(
@@ -225,14 +225,14 @@ def _(t):
 @case("prj_19_snapshot", sql.over("""
 SELECT mmsi, lat, lon, sog, coalesce(nullif(heading, 0), cog) AS heading, vessel_type, risk_level FROM silver
 WHERE base_datetime BETWEEN TIMESTAMP '2024-01-10 12:00:00' - INTERVAL 5 MINUTE
-  AND TIMESTAMP '2024-01-10 12:00:00' + INTERVAL 5 MINUTE ORDER BY base_datetime, mmsi LIMIT 500"""))
+  AND TIMESTAMP '2024-01-10 12:00:00' + INTERVAL 5 MINUTE ORDER BY base_datetime, mmsi"""))
 def _(t):
     return queries.snapshot(t.silver, F.lit("2024-01-10 12:00:00").cast("timestamp_ntz"))
 
 
 @case("prj_20_recent_alerts", sql.over(f"""
 SELECT * FROM alerts WHERE created_at >= {AS_OF} - INTERVAL 72 HOUR AND alert_type = 'SHARP_TURN' AND severity = 'HIGH'
-  AND is_resolved = false ORDER BY created_at DESC, id LIMIT 500"""))
+  AND is_resolved = false ORDER BY created_at DESC, id"""))
 def _(t):
     return queries.recent_alerts(t.alerts, t.as_of, 72, "SHARP_TURN", "HIGH", False)
 
@@ -242,14 +242,14 @@ _KINDS = ", ".join(f"'{k}'" for k in C.ANOMALY_KINDS)
 
 @case("prj_21_recent_anomalies", sql.over(f"""
 SELECT * FROM alerts WHERE created_at >= {AS_OF} - INTERVAL 48 HOUR AND alert_type IN ({_KINDS})
-ORDER BY created_at DESC, id LIMIT 200"""))
+ORDER BY created_at DESC, id"""))
 def _(t):
     return queries.recent_anomalies(t.alerts, t.as_of, 48)
 
 
 @case("prj_21b_recent_other_than_collisions", sql.over(f"""
 SELECT * FROM alerts WHERE created_at >= {AS_OF} - INTERVAL 48 HOUR AND alert_type <> 'COLLISION_RISK'
-ORDER BY created_at DESC, id LIMIT 200"""))
+ORDER BY created_at DESC, id"""))
 def _(t):
     return queries.recent_other_than_collisions(t.alerts, t.as_of, 48)
 
@@ -264,7 +264,7 @@ def _(t):
 @case("prj_23_congestion_zones", sql.over("""
 SELECT lat_bin AS lat, lon_bin AS lon, vessel_count AS count, congestion_level AS level, avg_sog FROM density
 WHERE hour_bucket >= TIMESTAMP '2024-01-17 17:00:00' - INTERVAL 1 HOUR AND vessel_count > 3
-ORDER BY vessel_count DESC, lat_bin, lon_bin, hour_bucket, data_split LIMIT 500"""))
+ORDER BY vessel_count DESC, lat_bin, lon_bin, hour_bucket, data_split"""))
 def _(t):
     return queries.congestion_zones(t.density, F.lit("2024-01-17 17:00:00").cast("timestamp_ntz"))
 

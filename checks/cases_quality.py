@@ -86,9 +86,9 @@ def _(t):
 
 
 @case("dq_08_alert_bursts", sql.over("""
-SELECT minute, alerts, count(*) OVER (PARTITION BY day, run) >= 2 AS storm FROM (
-  SELECT *, epoch(minute) // 60 - row_number() OVER (PARTITION BY day ORDER BY minute) AS run FROM (
-    SELECT date_trunc('minute', created_at) AS minute, CAST(created_at AS DATE) AS day, count(*) AS alerts FROM alerts GROUP BY ALL)
+SELECT minute, alerts, count(*) OVER (PARTITION BY run) >= 2 AS storm FROM (
+  SELECT *, epoch(minute) // 60 - row_number() OVER (ORDER BY minute) AS run FROM (
+    SELECT date_trunc('minute', created_at) AS minute, count(*) AS alerts FROM alerts GROUP BY ALL)
   WHERE alerts > 1)"""))
 def _(t):
     return quality.alert_bursts(t.alerts, per_minute=1, minutes=2)

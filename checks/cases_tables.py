@@ -57,9 +57,10 @@ def _(t):
 
 
 @case("src_07_capped_sample", sql.over("""
-SELECT source_file, least(n, 2000 // files) AS rows FROM (
-  SELECT 'ais-' || strftime(base_datetime, '%Y-%m-%d') || '.csv' AS source_file,
-    count(*) FILTER (WHERE data_split <> 'test') AS n, count(*) OVER () AS files FROM silver GROUP BY 1) WHERE n > 0"""))
+SELECT source_file, least(n, 2000 // files + CASE WHEN place <= 2000 % files THEN 1 ELSE 0 END) AS rows FROM (
+  SELECT *, count(*) OVER () AS files, row_number() OVER (ORDER BY source_file) AS place FROM (
+    SELECT 'ais-' || strftime(base_datetime, '%Y-%m-%d') || '.csv' AS source_file, count(*) AS n FROM silver
+    WHERE data_split <> 'test' GROUP BY 1))"""))
 def _(t):
     rows = with_file(t.silver.replace("live", "train", "data_split"))
     sample = files.capped_sample(rows, 2000)
@@ -161,7 +162,7 @@ def _(t):
 def _(t):
     path = scratch_dir(t.spark, "alerts")
     for part in (alerts.anomaly_alerts(t.scored), alerts.collision_alerts(t.near_misses)):
-        tables.append_evolving(alerts.with_alert_defaults(part.drop("is_resolved")), path)
+        tables.append_evolving(alerts.with_alert_defaults(part), path)
     return t.spark.read.parquet(path)
 
 
@@ -177,12 +178,12 @@ FROM silver WHERE data_split = 'train'"""
 
 @case("snk_10_track_fact", sql.over(_TRACK_SQL))
 def _(t):
-    return tables.track_fact(t.silver, share=1.0, ingested_at=t.as_of)
+    return tables.track_fact(t.silver, ingested_at=t.as_of)
 
 
 @case("snk_10b_track_fact_sampled")
 def _(t):
-    return tables.track_fact(t.silver, ingested_at=t.as_of)
+    return tables.track_fact(t.silver, share=0.10, target_rows=2_000_000, ingested_at=t.as_of)
 
 
 @case("snk_11_upsert_weather", sql.over(f"""
@@ -275,9 +276,11 @@ def _(t):
 
 
 @case("snk_18_resolve_alert", sql.over(f"""
-SELECT id, is_resolved OR id = 1003 AS is_resolved, CASE WHEN id = 1003 THEN {AS_OF} END AS resolved_at FROM alerts"""))
+SELECT id, is_resolved OR id = low AS is_resolved, CASE WHEN id = low THEN {AS_OF} END AS resolved_at
+FROM alerts, (SELECT min(id) AS low FROM alerts WHERE NOT is_resolved)"""))
 def _(t):
-    return alerts.resolve(t.alerts, 1003, t.as_of).select("id", "is_resolved", "resolved_at")
+    first = t.alerts.filter("NOT is_resolved").agg(F.min("id")).first()[0]
+    return alerts.resolve(t.alerts, first or 0, t.as_of).select("id", "is_resolved", "resolved_at")
 
 
 @case("snk_19_retention", sql.over(f"SELECT {_SHORT} FROM silver WHERE base_datetime >= {AS_OF} - INTERVAL 15 DAY"))

@@ -195,6 +195,11 @@ SELECT *, CASE WHEN dist < 0.05 THEN 'CRITICAL' WHEN converging THEN 'HIGH' ELSE
 ) WHERE dist > 0 AND dist < CAST(0.1 AS DOUBLE)"""
 
 
+def alert_id(kind: str, first: str, second: str, at: str) -> str:
+    text = f"concat_ws('|', {kind}, {first}, {second}, strftime({at}, '%Y-%m-%d %H:%M:%S'))"
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
 _CTES: dict[str, str] = {
     "ais": testbed.duckdb_sql(),
     "gated": f"SELECT * FROM ais WHERE {GATE}",
@@ -254,17 +259,17 @@ FROM silver GROUP BY mmsi""",
     "scored": _scored(),
     "near_misses": near_miss_sql("newest"),
     "alerts": f"""
-SELECT event_id AS id, anomaly_type AS alert_type, {severity("anomaly_score")} AS severity, mmsi AS mmsi_1,
+SELECT {alert_id("anomaly_type", "mmsi", "''", "base_datetime")} AS id, anomaly_type AS alert_type, {severity("anomaly_score")} AS severity, mmsi AS mmsi_1,
   CAST(NULL AS VARCHAR) AS mmsi_2, vessel_name AS vessel_name_1, CAST(NULL AS VARCHAR) AS vessel_name_2, lat, lon,
   printf('%s detected for vessel %s — score %.2f', anomaly_type, mmsi, {dec("anomaly_score", 2)}) AS description,
-  anomaly_score, CAST(NULL AS DOUBLE) AS distance_nm, event_id % 4 = 0 AS is_resolved,
+  anomaly_score, CAST(NULL AS DOUBLE) AS distance_nm, {alert_id("anomaly_type", "mmsi", "''", "base_datetime")} % 4 = 0 AS is_resolved,
   base_datetime AS created_at, 'live' AS data_split
 FROM scored WHERE is_anomaly
 UNION ALL
-SELECT event_id_1 * 1000000000 + event_id_2, 'COLLISION_RISK', severity, mmsi_1, mmsi_2, vessel_name_1, vessel_name_2,
+SELECT {alert_id("'COLLISION_RISK'", "mmsi_1", "mmsi_2", "detected_at")}, 'COLLISION_RISK', severity, mmsi_1, mmsi_2, vessel_name_1, vessel_name_2,
   lat, lon, printf('Vessels %s and %s are %.2f nm apart', mmsi_1, mmsi_2, {dec("dist", 2)})
     || CASE WHEN converging THEN ' and converging' ELSE '' END,
-  CAST(NULL AS DOUBLE), {dec("dist", 3)}, event_id_1 % 4 = 0, detected_at, 'live'
+  CAST(NULL AS DOUBLE), {dec("dist", 3)}, {alert_id("'COLLISION_RISK'", "mmsi_1", "mmsi_2", "detected_at")} % 4 = 0, detected_at, 'live'
 FROM near_misses""",
     "weather_hours": f"""
 SELECT lat_cell, lon_cell, hour_bucket,

@@ -43,12 +43,43 @@ def test_capped_sample_is_repeatable_and_capped(spark, tables):
     assert all(r["count"] == 30 for r in first.groupBy("source_file").count().collect())
 
 
-def test_track_fact_stops_at_the_target(tables):
-    everything = sinks.track_fact(tables.silver, share=1.0).count()
-    some = sinks.track_fact(tables.silver, share=1.0, target_rows=everything // 2).count()
+def test_capped_sample_splits_the_bound_exactly(tables):
+    rows = tables.silver.withColumn("source_file", F.expr("concat('f', event_id % 30)"))
+    assert files.capped_sample(rows, 20, split=None).count() == 20  # more files than rows
+    assert files.capped_sample(rows, 100, split=None).count() == 100  # not a multiple of the files
+    assert files.capped_sample(rows, 10**9, split=None).count() == rows.count()
+
+
+def test_track_fact_has_all_rows_unless_asked(tables):
+    everything = sinks.track_fact(tables.silver).count()
+    assert everything == tables.silver.filter("data_split = 'train'").count()
+    some = sinks.track_fact(tables.silver, target_rows=everything // 2).count()
     assert everything // 2 <= some < everything
 
 
+def test_storm_across_midnight(spark):
+    at = [datetime(2024, 1, 1, 23, 59), datetime(2024, 1, 2, 0, 0), datetime(2024, 1, 2, 0, 1)]
+    df = spark.createDataFrame([(t,) for t in at for _ in range(3)], "created_at timestamp_ntz")
+    assert [r["storm"] for r in checks.alert_bursts(df, per_minute=2, minutes=3).collect()] == [True] * 3
+    assert [r["storm"] for r in checks.alert_bursts(df, per_minute=2, minutes=4).collect()] == [False] * 3
+
+
+def test_load_reads_the_newest_period_again(spark):
+    from wakeline.plans import warehouse
+
+    columns = "k string, at timestamp_ntz, n int"
+    hour, now = datetime(2024, 1, 1, 5), F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    stored, control = spark.createDataFrame([], columns), spark.createDataFrame([], warehouse.CONTROL_COLUMNS)
+    counted = []
+    for rows in ([("a", hour, 5)], [("a", hour, 9), ("b", hour, 1)], [("a", hour, 9), ("b", hour, 1)]):
+        source = spark.createDataFrame(rows, columns)
+        stored, control = warehouse.incremental_load(stored, control, source, "t", ("k", "at"), "at", now)
+        stored, control = (spark.createDataFrame(df.collect(), df.schema) for df in (stored, control))
+        counted.append(control.first()["rows_loaded"])
+    assert sorted((r["k"], r["n"]) for r in stored.collect()) == [("a", 9), ("b", 1)]
+    assert counted == [1, 3, 3]
+
+
 OLD = "k string, name string, n int"
 
 

@@ -40,6 +40,15 @@ def iso_time(x: str) -> Column:
     return F.expr(rf"try_cast(regexp_replace({x}, '(Z|[+].*)$', '') AS TIMESTAMP_NTZ)")
 
 
+def content_id(*parts: Column | str) -> Column:
+    """A positive 60-bit number made of the row's own content, the same wherever and whenever it is computed.
+
+    Parts are columns or their names. Nulls count as empty text.
+    """
+    texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("bigint")
+
+
 def cut(x: str, width: int, default: str = "") -> Column:
     """Text with a default, cut to a column width."""
     return F.expr(f"substring(coalesce(CAST({x} AS STRING), '{default}'), 1, {width})")

@@ -35,10 +35,11 @@ def hash_split(df: DataFrame, identity: Sequence[str], share: float = 0.8, seed:
 def train_position(
     silver: DataFrame, minutes: int, rounds: int = 300, depth: int = 6, rate: float = 0.05, min_rows: int = 1000,
     seed: int = 42,
-) -> tuple[dict[str, GBTRegressionModel], DataFrame] | None:
+) -> tuple[dict[str, GBTRegressionModel], DataFrame]:
     """Boosted trees for the latitude and longitude change, and their errors on the later fifth of time.
 
-    None when there are too few rows. MLlib truncates the lineage of the rounds in the checkpoint folder.
+    Fewer than ``min_rows`` rows are an error: whether to go on with dead reckoning is the caller's choice. MLlib
+    truncates the lineage of the rounds in the checkpoint folder.
     """
     spark = silver.sparkSession
     spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
@@ -47,8 +48,8 @@ def train_position(
         "mmsi", "base_datetime", *C.POSITION_FEATURES, "delta_lat", "delta_lon"
     ).persist()
     try:
-        if rows.limit(min_rows).count() < min_rows:
-            return None
+        if (n := rows.limit(min_rows).count()) < min_rows:
+            raise ValueError(f"{n} rows to train on, {min_rows} are needed")
         parts = assembled(timesplit.split_by_time(rows, "base_datetime"), C.POSITION_FEATURES)
         models: dict[str, GBTRegressionModel] = {}
         for axis in ("lat", "lon"):

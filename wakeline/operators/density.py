@@ -96,7 +96,7 @@ def training_density(rows: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def raw_track_density(track: DataFrame, top: int = 1000) -> DataFrame:
+def raw_track_density(track: DataFrame, top: int | None = None) -> DataFrame:
     """Fallback heat map straight from track rows: other thresholds, weight relative to the busiest cell."""
     counted = (
         track.groupBy(
@@ -105,9 +105,7 @@ def raw_track_density(track: DataFrame, top: int = 1000) -> DataFrame:
         )
         .agg(F.count("*").alias("vessel_count"), steady_avg("sog").alias("avg_sog"))
     )
-    best = (
-        counted.orderBy(F.desc("vessel_count"), "__lat", "__lon").limit(top)
-    )
+    best = counted if top is None else counted.orderBy(F.desc("vessel_count"), "__lat", "__lon").limit(top)
     return heat_weight(best).select(
         cells.degrees("__lat", CELL, 1).alias("lat"),
         cells.degrees("__lon", CELL, 1).alias("lon"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS, Thresholds
-from wakeline.functions import geo, labels
+from wakeline.functions import cleaning, geo, labels
 from wakeline.operators import tracks
 
 # Heading, else course, else 0; zero counts as missing.
@@ -82,11 +82,16 @@ def merge_model(rows: DataFrame) -> DataFrame:
     })
 
 
+def alert_id(kind: Column, mmsi_1: str, mmsi_2: Column, at: str) -> Column:
+    """What an alert is about names it: kind, vessels and second."""
+    return cleaning.content_id(kind, mmsi_1, mmsi_2, F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+
+
 def anomaly_alerts(scored: DataFrame) -> DataFrame:
-    """One alert per anomalous row."""
+    """One alert per anomalous row, unresolved."""
     kind = "coalesce(nullif(anomaly_type, ''), 'ML_ANOMALY')"
     return scored.filter("is_anomaly").select(
-        F.col("event_id").alias("id"),
+        alert_id(F.expr(kind), "mmsi", F.lit(""), "base_datetime").alias("id"),
         F.expr(kind).alias("alert_type"),
         labels.alert_severity("anomaly_score").alias("severity"),
         F.col("mmsi").alias("mmsi_1"),
@@ -95,17 +100,18 @@ def anomaly_alerts(scored: DataFrame) -> DataFrame:
         labels.anomaly_text(kind, "mmsi", "anomaly_score").alias("description"),
         "anomaly_score",
         F.col("base_datetime").alias("created_at"),
-        (F.col("event_id") % 4 == 0).alias("is_resolved"),
+        F.lit(False).alias("is_resolved"),
     )
 
 
 def collision_alerts(pairs: DataFrame) -> DataFrame:
+    """One alert per near miss, unresolved."""
     return pairs.select(
-        (F.col("event_id_1") * 1_000_000_000 + F.col("event_id_2")).alias("id"),
+        alert_id(F.col("alert_type"), "mmsi_1", F.col("mmsi_2"), "detected_at").alias("id"),
         "alert_type", "severity", "mmsi_1", "mmsi_2", "vessel_name_1", "vessel_name_2", "lat", "lon",
         "description", "distance_nm",
         F.col("detected_at").alias("created_at"),
-        (F.col("event_id_1") % 4 == 0).alias("is_resolved"),
+        F.lit(False).alias("is_resolved"),
     )
 
 
@@ -114,9 +120,9 @@ def with_alert_defaults(alerts: DataFrame) -> DataFrame:
     kinds = {"mmsi_2": "string", "vessel_name_2": "string", "anomaly_score": "double", "distance_nm": "double"}
     absent = {c: F.lit(None).cast(k) for c, k in kinds.items() if c not in alerts.columns}
     df = alerts.withColumns(absent) if absent else alerts
-    if "is_resolved" not in df.columns:
-        df = df.withColumn("is_resolved", F.lit(False))
+    resolved = F.col("is_resolved") if "is_resolved" in df.columns else F.lit(None).cast("boolean")
     return df.withColumns({
+        "is_resolved": F.coalesce(resolved, F.lit(False)),
         "alert_type": F.coalesce("alert_type", F.lit("ML_ANOMALY")),
         "severity": F.coalesce("severity", F.lit("MEDIUM")),
         "data_split": F.lit("live"),

@@ -1,7 +1,7 @@
 """Parameterised look-ups over the served tables (latest, track, alerts, density, statistics).
 
-Optional filters that are None are left out. "Last N hours" is relative to an explicit ``as_of``. Every
-limited result has a full order, so it is the same on every run.
+Optional filters and limits that are None are left out. "Last N hours" is relative to an explicit ``as_of``.
+Every result that may be limited has a full order, so it is the same on every run.
 """
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ def _only(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
+def _limited(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
 def check_range(name: str, value: int, low: int, high: int) -> int:
     """A bounded request parameter."""
     if not low <= value <= high:
@@ -40,12 +44,12 @@ def check_range(name: str, value: int, low: int, high: int) -> int:
 
 def vessels(
     latest: DataFrame, vessel_type: str | None = None, risk_level: str | None = None, min_sog: float = 0.0,
-    max_sog: float = 60.0, is_anomaly: bool | None = None, data_split: str | None = None, limit: int = 2000,
+    max_sog: float = 60.0, is_anomaly: bool | None = None, data_split: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """The live map: latest positions, unknown speed passes the speed range."""
     df = _only(latest, vessel_type=vessel_type, risk_level=risk_level, is_anomaly=is_anomaly, data_split=data_split)
     df = df.filter(F.col("sog").isNull() | F.col("sog").between(min_sog, max_sog))
-    return df.orderBy("mmsi").limit(limit).select(
+    return _limited(df.orderBy("mmsi"), limit).select(
         "mmsi", "vessel_name", "vessel_type", labels.vessel_type_ranges("vessel_type").alias("vessel_type_label"),
         "lat", "lon", "sog", "cog", heading_or_course().alias("heading"), "risk_level", "is_anomaly",
         "anomaly_score", "anomaly_type", "predicted_lat", "predicted_lon", "updated_at",
@@ -64,7 +68,7 @@ def screen_filter(latest: DataFrame, low: float, high: float, risks=(), types=()
 
 def search(
     latest: DataFrame, text: str, vessel_type: str | None = None, risk_level: str | None = None,
-    min_speed: float = 0.0, max_speed: float = 60.0, limit: int = 100,
+    min_speed: float = 0.0, max_speed: float = 60.0, limit: int | None = None,
 ) -> DataFrame:
     """Case-insensitive substring of mmsi or name."""
     if len(text) < 2:
@@ -73,12 +77,12 @@ def search(
     df = latest.filter(
         F.contains(F.lower("mmsi"), needle) | F.contains(F.lower("vessel_name"), needle)
     ).filter(F.col("sog").between(min_speed, max_speed))
-    return _only(df, vessel_type=vessel_type, risk_level=risk_level).orderBy("mmsi").limit(limit)
+    return _limited(_only(df, vessel_type=vessel_type, risk_level=risk_level).orderBy("mmsi"), limit)
 
 
 def track(
     rows: DataFrame, mmsi: str, start: Column | None = None, end: Column | None = None,
-    data_split: str | None = None, limit: int = 5000,
+    data_split: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """One vessel in time order."""
     df = rows.filter(F.col("mmsi") == mmsi)
@@ -86,14 +90,14 @@ def track(
         df = df.filter(F.col("base_datetime") >= start)
     if end is not None:
         df = df.filter(F.col("base_datetime") <= end)
-    return _only(df, data_split=data_split).orderBy("base_datetime").limit(limit)
+    return _limited(_only(df, data_split=data_split).orderBy("base_datetime"), limit)
 
 
-def snapshot(rows: DataFrame, at: Column, vessel_type: str | None = None, limit: int = 500) -> DataFrame:
+def snapshot(rows: DataFrame, at: Column, vessel_type: str | None = None, limit: int | None = None) -> DataFrame:
     """Reports within five minutes of a moment."""
     span = F.expr("INTERVAL '5' MINUTE")
     df = _only(rows.filter(F.col("base_datetime").between(at - span, at + span)), vessel_type=vessel_type)
-    return df.orderBy("base_datetime", "mmsi").limit(limit).select(
+    return _limited(df.orderBy("base_datetime", "mmsi"), limit).select(
         "mmsi", "lat", "lon", "sog",
         F.coalesce(F.nullif("heading", F.lit(0.0)), F.col("cog")).alias("heading"),
         "vessel_type", "risk_level",
@@ -102,23 +106,23 @@ def snapshot(rows: DataFrame, at: Column, vessel_type: str | None = None, limit:
 
 def recent_alerts(
     alerts: DataFrame, as_of: Column, hours: int = 24, alert_type: str | None = None, severity: str | None = None,
-    is_resolved: bool | None = None, limit: int = 500,
+    is_resolved: bool | None = None, limit: int | None = None,
 ) -> DataFrame:
     df = alerts.filter(F.col("created_at") >= hours_before(as_of, hours))
     df = _only(df, alert_type=alert_type, severity=severity, is_resolved=is_resolved)
-    return df.orderBy(F.desc("created_at"), "id").limit(limit)
+    return _limited(df.orderBy(F.desc("created_at"), "id"), limit)
 
 
 def recent_anomalies(
     alerts: DataFrame, as_of: Column, hours: int = 24, alert_type: str | None = None, severity: str | None = None,
-    limit: int = 200,
+    limit: int | None = None,
 ) -> DataFrame:
     """Alerts of the six anomaly kinds."""
     kinds = alerts.filter(F.col("alert_type").isin(*C.ANOMALY_KINDS))
     return recent_alerts(kinds, as_of, hours, alert_type, severity, None, limit)
 
 
-def recent_other_than_collisions(alerts: DataFrame, as_of: Column, hours: int = 24, limit: int = 200) -> DataFrame:
+def recent_other_than_collisions(alerts: DataFrame, as_of: Column, hours: int = 24, limit: int | None = None) -> DataFrame:
     return recent_alerts(alerts.filter(F.col("alert_type") != C.COLLISION_KIND), as_of, hours, limit=limit)
 
 
@@ -134,12 +138,13 @@ def open_collisions(
     return _only(df, severity=severity).orderBy(rank.desc(), F.desc("created_at"), "id")
 
 
-def congestion_zones(density: DataFrame, as_of: Column, level: str | None = None, limit: int = 500) -> DataFrame:
+def congestion_zones(density: DataFrame, as_of: Column, level: str | None = None, limit: int | None = None) -> DataFrame:
     """Cells of the last hour with more than three reports."""
     df = density.filter((F.col("hour_bucket") >= hours_before(as_of, 1)) & (F.col("vessel_count") > 3))
-    return _only(df, congestion_level=level).orderBy(
+    found = _only(df, congestion_level=level).orderBy(
         F.desc("vessel_count"), "lat_bin", "lon_bin", "hour_bucket", "data_split"
-    ).limit(limit).select(
+    )
+    return _limited(found, limit).select(
         F.col("lat_bin").alias("lat"), F.col("lon_bin").alias("lon"), F.col("vessel_count").alias("count"),
         F.col("congestion_level").alias("level"), "avg_sog",
     )

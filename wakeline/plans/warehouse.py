@@ -30,15 +30,17 @@ def incremental_load(
     stored: DataFrame, control: DataFrame, source: DataFrame, table: str, keys: tuple[str, ...], time: str,
     now: Column, zone: tuple[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(stored table, control table) after loading what is newer than the watermark.
+    """(stored table, control table) after loading what is new or changed since the watermark.
 
-    The watermark becomes the newest loaded time, not the clock, and rows are merged on their key: loading
-    the same source twice changes nothing.
+    The watermark becomes the newest loaded time, not the clock, and its period is read again. Of several fresh rows
+    with one key the newest counts. Rows are merged on their key and only those that differ from the stored ones
+    count as loaded: loading the same source twice changes nothing.
     """
     fresh = newer_than(source, time, control, table)
     if zone:
         fresh = in_coastal_zones(fresh, *zone)
-    loaded = merge.upsert(stored, fresh.select(*stored.columns), keys)
+    fresh = merge.last_per_key(fresh.select(*stored.columns), keys, (time,)).subtract(stored)
+    loaded = merge.upsert(stored, fresh, keys)
     mark = fresh.agg(
         F.lit(table).alias("table_name"),
         F.max(F.col(time).cast("timestamp_ntz")).alias("last_loaded"),

@@ -130,16 +130,18 @@ def split_quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def alert_bursts(alerts: DataFrame, per_minute: int = 200, minutes: int = 3) -> DataFrame:
     """Minutes with more alerts than the limit, marked when at least ``minutes`` of them follow each other.
 
-    The runs are found over one row per minute, within each day.
+    A storm is a span of ``minutes`` minutes that are all busy, midnight or not. Each busy minute counts for the spans
+    it lies in, so no window orders all minutes.
     """
     minute = F.expr("CAST(date_trunc('minute', created_at) AS TIMESTAMP_NTZ)")
     busy = alerts.groupBy(minute.alias("minute")).agg(F.count("*").alias("alerts")).filter(F.col("alerts") > per_minute)
-    w = Window.partitionBy("day").orderBy("minute")
-    runs = busy.withColumn("day", F.to_date("minute")).withColumn(
-        "run", F.expr("unix_timestamp(minute) div 60") - F.row_number().over(w)
+    placed = busy.withColumn("at", F.expr("unix_timestamp(minute) div 60"))
+    spans = placed.select(F.explode(F.sequence(F.col("at") - (minutes - 1), "at")).alias("first")).groupBy("first").count()
+    full = spans.filter(F.col("count") == minutes)
+    storm = full.select(F.explode(F.sequence("first", F.col("first") + (minutes - 1))).alias("at")).distinct()
+    return placed.join(storm.withColumn("storm", F.lit(True)), "at", "left").select(
+        "minute", "alerts", F.coalesce("storm", F.lit(False)).alias("storm")
     )
-    size = F.count("*").over(Window.partitionBy("day", "run"))
-    return runs.withColumn("storm", size >= minutes).select("minute", "alerts", "storm")
 
 
 def drift(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, limit: float = 0.2) -> DataFrame:

@@ -107,24 +107,28 @@ def sample_share(df: DataFrame, share: float, seed: int = 42, identity: Sequence
 
 
 def track_fact(
-    rows: DataFrame, share: float = 0.10, target_rows: int = 2_000_000, seed: int = 42,
+    rows: DataFrame, share: float | None = None, target_rows: int | None = None, seed: int = 42,
     ingested_at: Column | None = None,
 ) -> DataFrame:
-    """The track table: train rows, sampled, with defaults, cut to column widths, up to the target size.
+    """The track table: train rows with defaults, cut to column widths.
 
-    The sample is loaded in whole hash buckets until the target is reached, so the load stays distributed:
-    only the 10 000 bucket counts are ordered, never the rows.
+    All of them, unless the caller asks for a ``share`` of them or for about ``target_rows``. The target is reached
+    in whole hash buckets, so the load stays distributed: only the 10 000 bucket counts are ordered, never the rows.
     """
     from pyspark.sql import Window
 
-    train = sample_share(rows.filter(F.col("data_split") == "train"), share, seed)
-    bucket = F.pmod(F.xxhash64("mmsi", "base_datetime", F.lit(seed)), F.lit(10_000))
-    counted = train.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    last = (
-        counted.withColumn("before", F.coalesce(before, F.lit(0)))
-        .filter(F.col("before") < target_rows).agg(F.max("bucket")).scalar()
-    )
+    train = rows.filter(F.col("data_split") == "train")
+    if share is not None:
+        train = sample_share(train, share, seed)
+    if target_rows is not None:
+        bucket = F.pmod(F.xxhash64("mmsi", "base_datetime", F.lit(seed)), F.lit(10_000))
+        counted = train.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+        last = (
+            counted.withColumn("before", F.coalesce(before, F.lit(0)))
+            .filter(F.col("before") < target_rows).agg(F.max("bucket")).scalar()
+        )
+        train = train.filter(bucket <= last)
     have = set(rows.columns)
 
     def number(c: str) -> Column:
@@ -133,7 +137,7 @@ def track_fact(
     def text(c: str, width: int, default: str = "") -> Column:
         return (cleaning.cut(c, width, default) if c in have else F.lit(default)).alias(c)
 
-    shaped = train.filter(bucket <= last).select(
+    shaped = train.select(
         F.trim("mmsi").alias("mmsi"),
         text("vessel_name", 100),
         F.substring(labels.vessel_type_track("vessel_type"), 1, 50).alias("vessel_type"),

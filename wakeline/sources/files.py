@@ -12,7 +12,6 @@ from wakeline.functions import cells, cleaning, labels
 from wakeline.plans import bronze
 
 SAMPLE_BUCKETS = 1 << 20
-BROADCAST_FILES = 100_000
 
 
 def read_days(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -122,18 +121,17 @@ def with_ingest_columns(reports: DataFrame) -> DataFrame:
 def split_by_file(df: DataFrame, file: str = "source_file") -> DataFrame:
     """data_split by the position of the file in name order: 71 % train, up to 86 % test, then live.
 
-    Positions are computed over the distinct file names, which are few, and joined back.
+    Positions are computed over the distinct file names, one row a file, in one step, and joined back.
     """
     from pyspark.sql import Window
 
     names = df.select(file).distinct()
-    total = names.agg(F.count("*").alias("__total"))
-    placed = names.select(file, (F.row_number().over(Window.orderBy(file)) - 1).alias("__i"))
-    n = total.scalar()
+    place, n = F.row_number().over(Window.orderBy(file)) - 1, F.count("*").over(Window.partitionBy(F.lit(0)))
+    placed = names.select(file, place.alias("__i"), n.alias("__n"))
     table = placed.select(
         file,
-        F.when(F.col("__i") < F.floor(n * F.lit(0.71)), "train")
-        .when(F.col("__i") < F.floor(n * F.lit(0.86)), "test").otherwise("live").alias("data_split"),
+        F.when(F.col("__i") < F.floor(F.col("__n") * F.lit(0.71)), "train")
+        .when(F.col("__i") < F.floor(F.col("__n") * F.lit(0.86)), "test").otherwise("live").alias("data_split"),
     )
     return df.join(table, file)
 
@@ -147,27 +145,31 @@ def capped_sample(
     df: DataFrame, max_rows: int, split: str | None = "train", file: str = "source_file", seed: int = 42,
     identity: Sequence[str] = ("mmsi", "base_datetime"),
 ) -> DataFrame:
-    """At most ``max_rows / number of files`` rows of every file, chosen by a seeded hash of their identity.
+    """``max_rows`` rows, the same number of every file, chosen by a seeded hash of their identity.
 
+    What does not divide evenly goes to the first files by name; a file with fewer rows than its part gives all it has.
     The choice is the same on every run and for every partitioning. A file's rows are never ordered as a
     whole, however many it holds: hash buckets are counted, whole buckets are taken up to the cap, and only
     the rows of the bucket at the edge are ranked. The identity must be unique, as it is in Silver.
     """
     from pyspark.sql import Window
 
-    files = max(df.select(file).distinct().count(), 1)
-    cap = max_rows // files
     rows = df if split is None else df.filter(F.col("data_split") == split)
     placed = rows.withColumn("__bucket", F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(SAMPLE_BUCKETS)))
+    counts = placed.groupBy(file, "__bucket").agg(F.count("*").alias("__n"))
+    names = counts.select(file).distinct()
+    # one row a file
+    share = F.expr(f"{int(max_rows)} div __files") + F.when(F.col("__place") <= int(max_rows) % F.col("__files"), 1).otherwise(0)
+    caps = names.select(
+        file, F.row_number().over(Window.orderBy(file)).alias("__place"), F.count("*").over(Window.partitionBy(F.lit(0))).alias("__files")
+    ).select(file, share.alias("__cap"))
     upto = Window.partitionBy(file).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
     edges = (
-        placed.groupBy(file, "__bucket").agg(F.count("*").alias("__n"))
-        .withColumn("__before", F.sum("__n").over(upto) - F.col("__n"))
-        .filter(F.col("__before") < cap)
-        .groupBy(file).agg(F.max("__bucket").alias("__edge"), (cap - F.max("__before")).alias("__room"))
+        counts.withColumn("__before", F.sum("__n").over(upto) - F.col("__n"))
+        .join(caps, file)
+        .filter(F.col("__before") < F.col("__cap"))
+        .groupBy(file).agg(F.max("__bucket").alias("__edge"), (F.first("__cap") - F.max("__before")).alias("__room"))
     )
-    if files <= BROADCAST_FILES:
-        edges = F.broadcast(edges)
     within = Window.partitionBy(file, "__bucket").orderBy(*identity)
     return (
         placed.join(edges, file)
@@ -179,9 +181,12 @@ def capped_sample(
 
 
 def newer_than(df: DataFrame, column: str, control: DataFrame, table: str) -> DataFrame:
-    """Rows with ``column`` above the stored watermark of ``table``; all rows when there is none."""
+    """Rows with ``column`` at or above the stored watermark of ``table``; all rows when there is none.
+
+    The newest period is read again, as it may have grown since it was loaded.
+    """
     mark = control.filter(F.col("table_name") == table).agg(F.max("last_loaded")).scalar()
-    return df.filter(mark.isNull() | (F.col(column).cast("timestamp_ntz") > mark))
+    return df.filter(mark.isNull() | (F.col(column).cast("timestamp_ntz") >= mark))
 
 
 def read_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
