@@ -1,12 +1,16 @@
 """Quality of documents by weak supervision: rules vote, nobody vetoes.
 
-Each rule looks at one figure of a text and votes good (1), bad (-1) or abstains (0). How far a rule can be trusted is
-not set by hand: expectation-maximisation over the corpus estimates, for each rule, how often it is right about good and
-about bad documents, together with the share of good ones. A document is kept if its posterior probability of being good
-is at least ``KEEP``. Only a few plain faults (``base_failed``) decide alone.
+Each rule looks at one figure of a text and votes or abstains. Fault rules vote bad where they see their fault and
+otherwise abstain, since a text without one fault may have another; ``plain_prose`` votes good where a text looks like
+ordinary sentences in several respects. How far a rule can be trusted is not set by hand: expectation-maximisation over
+the corpus estimates the accuracy of each rule's votes from how rules confirm and contradict each other, starting from
+``ACCURACY``. Good and bad are equally likely before any vote (``BALANCE``; with the share of good documents instead, a
+rule that is right about a rare fault and fires alone would lose all trust). A document is kept if its posterior
+probability of being good is at least ``KEEP``; without a vote it is. Only a few plain faults (``base_failed``) decide
+alone.
 
 Everything that sees a document is a DataFrame expression. The estimation needs only how often each pattern of votes
-occurs: at most ``3 ** len(RULES)`` rows, counted over all documents.
+occurs: at most ``2 ** len(RULES)`` rows, counted over all documents.
 
 Defined cases: a null or empty text has no words and fails; a text without a figure (no line, no word) makes that rule
 abstain; rows that repeat, also with a null id, are judged one by one. Without any document nothing is estimated.
@@ -15,7 +19,6 @@ abstain; rows that repeat, also with a null id, are judged one by one. Without a
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,30 +28,25 @@ from wakeline.session import materialise
 GAP = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 KEEP = 0.5
-
-
-@dataclass(frozen=True)
-class Rule:
-    """Votes bad below ``low`` or above ``high``, good from ``good_low`` to ``good_high``, and abstains between."""
-
-    name: str
-    low: float
-    good_low: float
-    good_high: float
-    high: float
-
-
-RULES = (
-    Rule("symbols_per_word", -1.0, -1.0, 0.02, 0.15),
-    Rule("mean_word_length", 2.0, 3.0, 9.0, 12.0),
-    Rule("share_repeated_words", -1.0, -1.0, 0.02, 0.10),
-    Rule("share_repeated_lines", -1.0, -1.0, 0.02, 0.20),
-    Rule("share_capital_words", -1.0, -1.0, 0.10, 0.40),
-    Rule("share_closed_lines", 0.20, 0.60, 2.0, 2.0),
-    Rule("share_distinct_words", 0.10, 0.30, 2.0, 2.0),
-    Rule("share_words_with_letter", 0.60, 0.85, 2.0, 2.0),
-    Rule("bangs_per_word", -1.0, -1.0, 0.02, 0.20),
-)
+BALANCE = 0.5
+ACCURACY, PSEUDO_VOTES, PSEUDO_SHARE = 0.85, 50.0, 0.25
+
+#: The vote of each rule where its condition over the figures holds.
+RULES: dict[str, tuple[int, str]] = {
+    "symbols": (-1, "symbols_per_word > 0.15"),
+    "word_length": (-1, "mean_word_length < 2 or mean_word_length > 12"),
+    "repeated_words": (-1, "share_repeated_words > 0.15"),
+    "repeated_lines": (-1, "share_repeated_lines > 0.3"),
+    "capitals": (-1, "share_capital_words > 0.4"),
+    "open_lines": (-1, "share_closed_lines < 0.2"),
+    "few_words": (-1, "share_distinct_words < 0.1"),
+    "no_letters": (-1, "share_words_with_letter < 0.6"),
+    "shouting": (-1, "bangs_per_word > 0.2"),
+    "plain_prose": (
+        1, "symbols_per_word <= 0.02 and mean_word_length between 2.5 and 10 and share_capital_words <= 0.1 "
+        "and share_closed_lines >= 0.6 and share_distinct_words >= 0.3 and share_words_with_letter >= 0.85",
+    ),
+}
 
 
 def repeated_places(words: Column, keys: Column, bits: Column) -> Column:
@@ -109,67 +107,44 @@ def figures(texts: DataFrame) -> DataFrame:
     )
 
 
-def vote(rule: Rule) -> Column:
-    value = F.col(rule.name)
-    return (
-        F.when((value < rule.low) | (value > rule.high), -1)
-        .when((value >= rule.good_low) & (value <= rule.good_high), 1).otherwise(0)
-    )
-
-
-@dataclass(frozen=True)
-class Model:
-    """Share of good documents, and of each rule the probability to be right about good and about bad ones."""
-
-    good: float
-    right_good: tuple[float, ...]
-    right_bad: tuple[float, ...]
+def vote(name: str) -> Column:
+    value, condition = RULES[name]
+    return F.when(F.expr(condition), value).otherwise(0).cast("tinyint").alias(f"vote_{name}")
 
-    def weights(self, j: int) -> tuple[float, float]:
-        """What a good and a bad vote of rule ``j`` add to the log odds."""
-        return math.log(self.right_good[j] / (1 - self.right_bad[j])), math.log((1 - self.right_good[j]) / self.right_bad[j])
 
-    def log_odds(self, pattern: tuple[int, ...]) -> float:
-        odds = math.log(self.good / (1 - self.good))
-        for j, v in enumerate(pattern):
-            odds += self.weights(j)[0 if v > 0 else 1] if v else 0.0
-        return odds
+def log_odds(pattern: tuple[int, ...], accuracy: list[float]) -> float:
+    """Log odds of being good: every vote counts for its side by the rule's accuracy."""
+    return math.log(BALANCE / (1 - BALANCE)) + sum(v * math.log(a / (1 - a)) for v, a in zip(pattern, accuracy, strict=True) if v)
 
 
-def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 100, tolerance: float = 1e-9) -> Model:
-    """Expectation-maximisation over counted vote patterns, from rules that are right four times in five.
+def estimate(patterns: dict[tuple[int, ...], int], rules: int, rounds: int = 200, tolerance: float = 1e-9) -> list[float]:
+    """The accuracy of each rule's votes by expectation-maximisation over counted vote patterns.
 
-    One pseudo-observation in five on the wrong side keeps a rule that never errs, or never votes, finite.
+    A vote that nobody confirms or contradicts leaves its rule as trusted as it was, so nothing would hold a rule with
+    a few contradictions. Imagined votes of accuracy ``ACCURACY``, ``PSEUDO_VOTES`` and a ``PSEUDO_SHARE`` of the rule's
+    own, do.
     """
-    rules = len(next(iter(patterns), ()))
-    model = Model(0.8, (0.8,) * rules, (0.8,) * rules)
-    ordered, total = sorted(patterns.items()), sum(patterns.values())
-    for _ in range(rounds if total else 0):
-        good = 0.0
-        agree, voted = [[4.0, 4.0] for _ in range(rules)], [[5.0, 5.0] for _ in range(rules)]
+    accuracy, ordered = [ACCURACY] * rules, sorted(patterns.items())
+    real = [sum(n for pattern, n in ordered if pattern[j]) for j in range(rules)]
+    imagined = [PSEUDO_VOTES + PSEUDO_SHARE * n for n in real]
+    for _ in range(rounds):
+        agreed = [ACCURACY * n for n in imagined]
         for pattern, n in ordered:
-            p = 1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(pattern)))))
-            good += n * p
+            good = 1 / (1 + math.exp(-log_odds(pattern, accuracy)))
             for j, v in enumerate(pattern):
                 if v:
-                    voted[j][0] += n * p
-                    voted[j][1] += n * (1 - p)
-                    agree[j][0 if v > 0 else 1] += n * (p if v > 0 else 1 - p)
-        share = (good + 4) / (total + 5)
-        new = Model(share, *(tuple(agree[j][k] / voted[j][k] for j in range(rules)) for k in (0, 1)))
-        close = abs(new.good - model.good) < tolerance
-        model = new
-        if close:
+                    agreed[j] += n * (good if v > 0 else 1 - good)
+        before, accuracy = accuracy, [a / (n + m) for a, n, m in zip(agreed, real, imagined, strict=True)]
+        if max((abs(a - b) for a, b in zip(before, accuracy, strict=True)), default=0) < tolerance:
             break
-    return model
+    return accuracy
 
 
-def posterior(model: Model) -> Column:
+def posterior(accuracy: list[float]) -> Column:
     """The probability of being good as an expression over the vote columns."""
-    odds = F.lit(math.log(model.good / (1 - model.good)))
-    for j, rule in enumerate(RULES):
-        up, down = model.weights(j)
-        odds = odds + F.when(F.col(f"vote_{rule.name}") > 0, up).when(F.col(f"vote_{rule.name}") < 0, down).otherwise(0.0)
+    odds = F.lit(math.log(BALANCE / (1 - BALANCE)))
+    for name, a in zip(RULES, accuracy, strict=True):
+        odds = odds + F.col(f"vote_{name}") * math.log(a / (1 - a))
     return 1 / (1 + F.exp(-odds))
 
 
@@ -178,12 +153,13 @@ def judged(documents: DataFrame) -> DataFrame:
     texts = documents.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     measured = figures(texts)
     base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    names = [f"vote_{r.name}" for r in RULES]
+    names = [f"vote_{name}" for name in RULES]
     # one pass over the texts; what both later steps need is a few numbers a document
-    votes = materialise(measured.select(*base, *(vote(r).cast("tinyint").alias(n) for r, n in zip(RULES, names, strict=True))), "votes")
-    patterns = {tuple(row[n] for n in names): row["count"] for row in votes.groupBy(*names).count().collect()}
+    votes = materialise(measured.select(*base, *map(vote, RULES)), "votes")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    quality = posterior(estimate(patterns)) if patterns else F.lit(0.0)
+    counted = votes.filter(~failed).groupBy(*names).count()
+    patterns = {tuple(row[n] for n in names): row["count"] for row in counted.collect()}
+    quality = posterior(estimate(patterns, len(RULES)))
     return votes.select(
         *base, failed.alias("base_failed"), (~failed & (quality >= KEEP)).alias("kept"), quality.alias("quality"),
         *(F.col(n) for n in names),
@@ -191,4 +167,4 @@ def judged(documents: DataFrame) -> DataFrame:
 
 
 def report(documents: DataFrame) -> DataFrame:
-    return judged(documents).drop(*(f"vote_{r.name}" for r in RULES))
+    return judged(documents).drop(*(f"vote_{name}" for name in RULES))
