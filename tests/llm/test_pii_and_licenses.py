@@ -77,7 +77,7 @@ def test_pairs_are_permuted(spark, sizes):
 
 def test_only_valid_values_change(spark):
     same = [
-        "4111111111111112", "300.1.1.1", "1.2.3", "000-12-3456", "666-12-3456", "2021-02-30", "31.13.1999", "DE00370400440532013000",
+        "4111111111111112", "300.1.1.1", "10.01.2.3", "1.2.3", "000-12-3456", "666-12-3456", "2021-02-30", "31.13.1999", "DE00370400440532013000",
         "version 4.0", "9.9.", "token = \"xyz\"", "a@b", "12345", "+1", None, "", " ",
     ]
     assert changed(spark, same) == same
@@ -87,8 +87,8 @@ def test_only_valid_values_change(spark):
     got = changed(spark, rows)
     assert all(a != b for a, b in zip(rows, got, strict=True))
     shape = lambda t: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", t)))
-    assert [shape(t) for t in got[:2] + got[3:8]] == [shape(t) for t in rows[:2] + rows[3:8]]
-    assert re.fullmatch(r"\d+(\.\d+){3}", got[2]) and max(map(int, got[2].split("."))) < 256
+    assert [shape(t) for t in got[:8]] == [shape(t) for t in rows[:8]]
+    assert max(map(int, got[2].split("."))) < 256
     assert re.sub(r"\D", "", got[0]) == re.sub(r"\D", "", got[1])
     assert got[4].split("-") == got[5].split(".")[::-1]
     assert changed(spark, got[6:8]) != got[6:8]  # check digits are right again, so they are found again

@@ -92,10 +92,12 @@ def permute_text(key: Column, kind: str, text: Column, hexadecimal: bool = False
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.concat(s["left"], s["right"]))
 
 
-def permute_pair(key: Column, kind: str, left: Column, right: Column, sizes: tuple[int, int]) -> Column:
+def permute_pair(
+    key: Column, kind: str, left: Column, right: Column, sizes: tuple[int | Column, int | Column],
+) -> Column:
     """A keyed permutation of the pairs in ``range(sizes[0]) x range(sizes[1])`` as a struct of ``left`` and ``right``."""
 
-    def step(value: Column, other: Column, i: Column, size: int) -> Column:
+    def step(value: Column, other: Column, i: Column, size: int | Column) -> Column:
         return ((value + number_at(digest(key, kind, i, other.cast("string")), F.lit(1), 12) % size) % size).cast("long")
 
     def turn(state: Column, i: Column) -> Column:
@@ -200,12 +202,20 @@ def ssn(key: Column, hit: Column) -> Column:
 
 
 def ip(key: Column, hit: Column) -> Column:
-    octets = F.transform(F.split(hit, r"\."), lambda x: x.cast("long"))
-    pair = permute_pair(key, "ip", F.get(octets, 0) * 256 + F.get(octets, 1), F.get(octets, 2) * 256 + F.get(octets, 3), (65536, 65536))
+    """Each octet keeps its number of digits; one with a zero in front is no address."""
+    texts = F.split(hit, r"\.")
+    text = [F.get(texts, k) for k in range(4)]
+    octets = [t.cast("long") for t in text]
+    low = [F.element_at(F.array(F.lit(0), F.lit(10), F.lit(100)), F.length(t)) for t in text]
+    size = [F.element_at(F.array(F.lit(10), F.lit(90), F.lit(156)), F.length(t)).cast("long") for t in text]
+    left, right = ((octets[k] - low[k]) * size[k + 1] + octets[k + 1] - low[k + 1] for k in (0, 2))
+    pair = permute_pair(key, "ip", left, right, (size[0] * size[1], size[2] * size[3]))
     new = F.transform(F.array(pair), lambda p: F.concat_ws(".", *(
-        x.cast("string") for side in ("left", "right") for x in (F.floor(p[side] / 256), p[side] % 256)
+        x.cast("string") for k, side in ((0, "left"), (2, "right"))
+        for x in (F.floor(p[side] / size[k + 1]) + low[k], p[side] % size[k + 1] + low[k + 1])
     )))[0]
-    return F.when(F.array_max(octets) < 256, new)
+    valid = hit.rlike(r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$") & (F.greatest(*octets) < 256)
+    return F.when(valid, new)
 
 
 def moved_day(key: Column, day: Column) -> Column:
