@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from checks import sql
 from checks.cases_windows import KEYS
@@ -109,7 +112,7 @@ def _(t):
     rows = bronze.bronze_stream(_stream(t, all_messages(t)))
     path = scratch_dir(t.spark, "bronze-batches")
     _finished(bronze.append_batches(rows, path, scratch_dir(t.spark, "cp"), bronze.UNTIL_DONE))
-    return _as_stored(t.spark.read.parquet(path).drop("batch_id"))
+    return _as_stored(t.spark.read.parquet(path).drop("query_id", "batch_id"))
 
 
 @case("snk_06_direct_append", sql.over("SELECT mmsi, count(*) AS reports, min(base_datetime) AS first_seen FROM bronze GROUP BY 1"))
@@ -134,7 +137,7 @@ def _(t):
 
 def _scoring_run(t) -> str:
     def make(path: str) -> None:
-        rows = _gated(t, unique_messages(t)).withColumn("base_datetime", F.col("event_time")).drop("event_time", "data_split")
+        rows = scoring.live_reports(_stream(t, unique_messages(t)))
         _finished(scoring.start_scoring(rows, path, scratch_dir(t.spark, "cp"), bronze.UNTIL_DONE))
 
     return _once(t, "scoring", make)
@@ -149,7 +152,7 @@ _MILES = "sog * (5 / CAST(60 AS DOUBLE))"
 
 
 @case("st_03_score_batches", sql.over(f"""
-SELECT event_id, risk_level,
+SELECT mmsi, base_datetime, risk_level,
   CASE WHEN sog < 0.5 AND in_us_port_zone THEN 'STATIONARY_RISK' WHEN hc > 45 AND sog > 2 THEN 'SHARP_TURN'
     WHEN sog > 30 THEN 'UNUSUAL_SPEED' WHEN sc < -5 THEN 'SUDDEN_STOP' ELSE '' END AS anomaly_type,
   CASE WHEN sog < 0.5 AND in_us_port_zone THEN CAST(0.9 AS DOUBLE) WHEN hc > 45 AND sog > 2 THEN least(hc / 180, 1)
@@ -160,20 +163,35 @@ SELECT event_id, risk_level,
 FROM live""", live=_LIVE))
 def _(t):
     return t.spark.read.parquet(f"{_scoring_run(t)}/scored").select(
-        "event_id", "risk_level", "anomaly_type", "anomaly_score", "predicted_lat", "predicted_lon")
+        "mmsi", "base_datetime", "risk_level", "anomaly_type", "anomaly_score", "predicted_lat", "predicted_lon")
 
 
 @case("st_04_latest_state", sql.over("""
-SELECT mmsi, event_id, base_datetime, lat, lon, sog, cog, risk_level, 'live' AS data_split FROM (
+SELECT mmsi, base_datetime, lat, lon, sog, cog, risk_level, 'live' AS data_split FROM (
   SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY base_datetime DESC) AS rn FROM bronze_once) WHERE rn = 1"""))
 def _(t):
     table = state.SlotTable(t.spark, f"{_scoring_run(t)}/latest", scoring.LATEST_COLUMNS).read()
-    return table.select("mmsi", "event_id", "base_datetime", "lat", "lon", "sog", "cog", "risk_level", "data_split")
+    return table.select("mmsi", "base_datetime", "lat", "lon", "sog", "cog", "risk_level", "data_split")
+
+
+_TYPE = ("CASE WHEN sog < 0.5 AND in_us_port_zone THEN 'STATIONARY_RISK' WHEN hc > 45 AND sog > 2 THEN 'SHARP_TURN' "
+         "WHEN sog > 30 THEN 'UNUSUAL_SPEED' WHEN sc < -5 THEN 'SUDDEN_STOP' ELSE '' END")
+
+
+@case("st_03b_live_alerts", sql.over(f"""
+SELECT {sql.alert_id("kind", "mmsi", "''", "base_datetime")} AS id, kind AS alert_type, mmsi AS mmsi_1, base_datetime AS created_at,
+  false AS is_resolved, 'live' AS data_split
+FROM (SELECT *, {_TYPE} AS kind FROM live) WHERE kind <> ''""", live=_LIVE))
+def _(t):
+    alerts = t.spark.read.parquet(f"{_scoring_run(t)}/alerts")
+    return alerts.filter("alert_type <> 'COLLISION_RISK'").select(
+        "id", "alert_type", "mmsi_1", "created_at", "is_resolved", "data_split")
 
 
-@case("st_03b_live_alerts")
+@case("st_03c_live_near_misses")
 def _(t):
-    return t.spark.read.parquet(f"{_scoring_run(t)}/alerts").drop("batch_id")
+    alerts = t.spark.read.parquet(f"{_scoring_run(t)}/alerts")
+    return alerts.filter("alert_type = 'COLLISION_RISK'").drop("query_id", "batch_id")
 
 
 @case("st_05_motion_state", sql.over(f"""
@@ -204,12 +222,29 @@ def _(t):
     return t.spark.read.schema(rows.schema).parquet(path).select("event_id", "mmsi", "base_datetime", "lat", "lon")
 
 
-@case("st_07_progress")
+@case("st_07_progress", sql.over("SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS several_batches, true AS each_once FROM ais"))
 def _(t):
     rows = bronze.bronze_stream(_stream(t, all_messages(t)))
-    query = bronze.append_direct(rows, scratch_dir(t.spark, "progress"), scratch_dir(t.spark, "cp"))
-    _finished(query)
-    return bronze.progress_rows(query)
+    log = scratch_dir(t.spark, "progress-log")
+    listener = bronze.ProgressLog(t.spark, log)
+    t.spark.streams.addListener(listener)
+    try:
+        query = bronze.append_direct(rows, scratch_dir(t.spark, "progress"), scratch_dir(t.spark, "cp"))
+        _finished(query)
+        last = query.lastProgress["batchId"]
+        for _ in range(600):  # listeners hear of a batch a moment after it ended
+            try:
+                if bronze.progress_rows(t.spark, log).filter(F.col("batch_id") >= last).count():
+                    break
+            except AnalysisException:
+                pass
+            time.sleep(0.1)
+    finally:
+        t.spark.streams.removeListener(listener)
+    found = bronze.progress_rows(t.spark, log)
+    return found.agg(
+        F.sum("input_rows").alias("input_rows"), (F.count("*") > 1).alias("several_batches"),
+        (F.count("*") == F.countDistinct("batch_id")).alias("each_once"))
 
 
 @case("st_08_new_critical", sql.over("SELECT id, mmsi_1, mmsi_2, created_at FROM alerts WHERE severity = 'CRITICAL'"))

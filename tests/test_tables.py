@@ -99,8 +99,65 @@ def test_slot_table_repeats_a_batch_without_harm(spark):
         return merge.upsert(old, new, ("k",), on_match={"n": F.expr("old.n + fresh.n")})
 
     for batch in (0, 1, 1, 2, 2):
-        table.replace(batch, add)
+        table.replace("query", batch, add)
     assert [tuple(r) for r in table.read().collect()] == [("a", "x", 3)]
+    table.replace("started anew", 0, add)  # a new checkpoint counts from 0 again and loses nothing
+    assert [tuple(r) for r in table.read().collect()] == [("a", "x", 4)]
+
+
+def test_a_new_checkpoint_replaces_no_batch(spark, tmp_path):
+    from wakeline.streaming import bronze
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ntwo\n")
+    for name in ("first", "second", "second"):
+        stream = spark.readStream.text(str(tmp_path / "in"))
+        bronze.append_batches(stream, str(tmp_path / "out"), str(tmp_path / name), bronze.UNTIL_DONE).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.count() == 4 and stored.select("query_id").distinct().count() == 2
+
+
+def test_live_path_from_plain_messages(spark, tmp_path):
+    """Messages without ids, a vessel of the batch near one stored earlier, ids and defaults of the alerts."""
+    from wakeline.streaming import bronze, scoring
+
+    def message(mmsi, at, lat, lon):
+        return f'{{"mmsi": "{mmsi}", "base_datetime": "{at}", "lat": {lat}, "lon": {lon}, "sog": 35.0, "heading": 10.0}}\n'
+
+    (tmp_path / "in").mkdir()
+    texts = [message("366000001", "2024-01-01 00:00:00", 30.0, -90.0), message("366000002", "2024-01-01 00:00:30", 30.0005, -90.0),
+             message("366000003", "2024-01-01 02:00:00", 30.0, -90.0005)]
+    for k, text in enumerate(texts):
+        (tmp_path / "in" / f"{k}.txt").write_text(text)
+        stream = spark.readStream.text(str(tmp_path / "in"))
+        rows = scoring.live_reports(stream)
+        scoring.start_scoring(rows, str(tmp_path / "out"), str(tmp_path / "cp"), bronze.UNTIL_DONE).awaitTermination()
+    alerts = spark.read.parquet(str(tmp_path / "out" / "alerts")).collect()
+    assert all(r["id"] is not None and r["is_resolved"] is False for r in alerts)
+    assert len({r["id"] for r in alerts}) == len(alerts) == 4  # three speeds; the third vessel came two hours later
+    near = [r for r in alerts if r["alert_type"] == "COLLISION_RISK"]
+    assert [(r["mmsi_1"], r["mmsi_2"]) for r in near] == [("366000001", "366000002")]
+
+
+def test_ids_of_large_reports_do_not_overflow(spark):
+    from wakeline.functions import cleaning
+
+    df = spark.createDataFrame([("a", 10**18), ("a", 10**18 + 1), ("b", 10**18), (None, None)], "k string, n long")
+    ids = [r["i"] for r in df.select(cleaning.content_id("k", "n").alias("i")).collect()]
+    assert len(set(ids)) == 4 and all(0 <= i < 2**60 for i in ids)
+
+
+def test_mixed_headers_in_a_folder_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MMSI,LAT,LON\n1,30.5,-91.3\n")
+    (tmp_path / "b.csv").write_text("MMSI,LON,LAT\n1,-91.3,30.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_days(spark, [str(tmp_path)]).collect()
+
+
+def test_ingest_makes_an_id(spark):
+    raw = spark.createDataFrame([("1", "2024-01-01 00:00:00", "10", "20", "5"), ("1", "2024-01-01 00:00:00", "10", "20", "6")],
+                                "mmsi string, base_datetime string, lat string, lon string, sog string")
+    assert files.ingest(raw).select("event_id").distinct().count() == 2
 
 
 def test_request_bounds():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import NULL_TOKENS, TIME_FORMAT
@@ -49,6 +49,17 @@ def content_id(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("bigint")
 
 
+#: What tells reports of one vessel and second apart.
+REPORT_IDENTITY = ("mmsi", "base_datetime", "lat", "lon", "sog", "cog", "heading", "vessel_name", "status")
+
+
+def with_report_id(df: DataFrame) -> DataFrame:
+    """Adds ``event_id`` made of the report's own fields, unless the source brings one."""
+    if "event_id" in df.columns:
+        return df
+    return df.withColumn("event_id", content_id(*[c for c in REPORT_IDENTITY if c in df.columns]))
+
+
 def cut(x: str, width: int, default: str = "") -> Column:
     """Text with a default, cut to a column width."""
     return F.expr(f"substring(coalesce(CAST({x} AS STRING), '{default}'), 1, {width})")

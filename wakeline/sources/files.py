@@ -18,11 +18,12 @@ def read_days(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw CSV reports as text columns under their canonical names, with the name of the file.
 
     Each path is a folder (or glob) whose files share one header; folders may differ in spelling and in
-    the columns they have.
+    the columns they have. A file whose header differs from its folder's is an error when it is read, as its
+    columns would be taken for others.
     """
     parts = [
         resolve_headers(
-            spark.read.option("header", True).csv(path).withColumn("source_file", F.col("_metadata.file_name"))
+            spark.read.option("header", True).option("enforceSchema", False).csv(path).withColumn("source_file", F.col("_metadata.file_name"))
         )
         for path in paths
     ]
@@ -76,7 +77,7 @@ def normalise_record(df: DataFrame) -> DataFrame:
 
 
 def ingest(raw: DataFrame, blank_as_null: bool = True) -> DataFrame:
-    """Typed, gated reports from raw text columns under canonical names.
+    """Typed, gated reports from raw text columns under canonical names, with an id if the files have none.
 
     With ``blank_as_null`` a missing field stays null, so that later steps can fill it and an unknown
     speed does not count as standing still. Without it numbers become 0 and texts ''.
@@ -101,7 +102,7 @@ def ingest(raw: DataFrame, blank_as_null: bool = True) -> DataFrame:
         *[c for c in raw.columns if c not in C.HEADER_ALIASES],
     )
     speed = "sog BETWEEN 0 AND 60" + (" OR sog IS NULL" if blank_as_null else "")
-    return typed.filter(
+    return cleaning.with_report_id(typed).filter(
         F.col("base_datetime").isNotNull() & bronze.valid_position()
         & F.expr(f"mmsi NOT IN ('', 'nan') AND ({speed})")
     )

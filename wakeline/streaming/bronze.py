@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wakeline.config import DEFAULTS, Thresholds
 from wakeline.functions import cells
@@ -27,11 +27,17 @@ def bronze_stream(raw: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     })
 
 
+def batch_path(path: str, batch: DataFrame, batch_id: int) -> str:
+    """The folder of one micro-batch. The query's id changes with its checkpoint, so a new start replaces nothing."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{path}/query_id={query}/batch_id={batch_id}"
+
+
 def append_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_TEN_SECONDS) -> StreamingQuery:
-    """Micro-batch append. Each batch owns the folder of its number, so a repeated batch replaces itself."""
+    """Micro-batch append. Each batch owns the folder of its query and number, so a repeated batch replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_path(path, batch, batch_id))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -83,15 +89,36 @@ def new_critical(alerts: DataFrame, delay: str = "1 day") -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["id"]).withColumn("created_at", F.col("created_at").cast(NTZ))
 
 
-def progress_rows(query: StreamingQuery) -> DataFrame:
-    """Rows, rate and end offset of the last batches of a query."""
-    from pyspark.sql import SparkSession
+PROGRESS_COLUMNS = (
+    "query_id string, run_id string, batch_id long, at string, input_rows long, rows_per_second double, end_offset string"
+)
 
-    rows = [
-        (str(p["id"]), int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
-         float(p["processedRowsPerSecond"] or 0.0), str([s["endOffset"] for s in p["sources"]]))
-        for p in query.recentProgress
-    ]
-    return SparkSession.active().createDataFrame(
-        rows, "query_id string, batch_id long, at string, input_rows long, rows_per_second double, end_offset string"
-    )
+
+class ProgressLog(StreamingQueryListener):
+    """Appends a row for every finished batch of every query to a table; the query itself remembers the last 100 only."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        rate = p.processedRowsPerSecond
+        row = (
+            str(p.id), str(p.runId), int(p.batchId), str(p.timestamp), int(p.numInputRows),
+            float(rate) if rate == rate else 0.0, str([s.endOffset for s in p.sources]),
+        )
+        self.spark.createDataFrame([row], PROGRESS_COLUMNS).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The batches a :class:`ProgressLog` has written."""
+    return spark.read.schema(PROGRESS_COLUMNS).parquet(path)

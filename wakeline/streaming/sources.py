@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.functions import cleaning
+
 # --- Fixed values: the JSON message of one report ----------------------------------------------
 MESSAGE_COLUMNS = """mmsi STRING, base_datetime STRING, lat DOUBLE, lon DOUBLE, sog DOUBLE, cog DOUBLE,
  heading DOUBLE, vessel_name STRING, imo STRING, call_sign STRING, vessel_type STRING, status STRING, length DOUBLE,
@@ -54,5 +56,5 @@ def replay_stream(spark: SparkSession, path: str, like: DataFrame, files_per_tri
 
 
 def parse(raw: DataFrame, columns: str = MESSAGE_COLUMNS) -> DataFrame:
-    """The JSON value as columns; a value that is no JSON gives nulls and fails the quality gate."""
-    return raw.select(F.from_json("value", columns).alias("d")).select("d.*")
+    """The JSON value as columns with a report id; a value that is no JSON gives nulls and fails the quality gate."""
+    return cleaning.with_report_id(raw.select(F.from_json("value", columns).alias("d")).select("d.*"))
