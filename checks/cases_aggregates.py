@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import sql
+from checks import sql, testbed
 from checks.registry import case
 from checks.sql import AS_OF, avg, dec, total
 from wakeline.config import Thresholds
@@ -273,7 +273,7 @@ def _(t):
 
 @case("ag_23_hourly_weather", sql.over("SELECT lat_cell, lon_cell, hour_bucket, wind_speed_10m, wave_height FROM weather"))
 def _(t):
-    return weather.hourly_weather(weather.testbed_weather(t.silver))
+    return weather.hourly_weather(testbed.weather(t.silver))
 
 
 @case("ag_24_severity_profile", sql.over(f"""

@@ -85,6 +85,13 @@ def _(t):
     return quality.triage(_spoiled(t)).select("event_id", "action")
 
 
+@case("dq_07b_quarantined_rows", sql.over(
+    f"SELECT event_id, mmsi, {_VERDICT} AS verdict FROM spoiled WHERE {_VERDICT} <> 'valid'", spoiled=_SPOILED_SQL))
+def _(t):
+    _, aside = quality.split_quarantine(_spoiled(t))
+    return aside.select("event_id", "mmsi", quality.mmsi_verdict().alias("verdict"))
+
+
 @case("dq_08_alert_bursts", sql.over("""
 SELECT minute, alerts, count(*) OVER (PARTITION BY run) >= 2 AS storm FROM (
   SELECT *, epoch(minute) // 60 - row_number() OVER (ORDER BY minute) AS run FROM (

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks import sql
+from checks import sql, testbed
 from checks.cases_projections import _INGESTED, _TEXT_SQL, REPORT_COLUMNS, text_reports, with_file
 from checks.registry import case
 from checks.sql import AS_OF
@@ -75,7 +75,7 @@ def _(t):
 @case("src_08_weather_payload", sql.over("""
 SELECT lat_cell, lon_cell, hour_bucket AS time, wind_speed_10m, wave_height FROM weather_hours"""))
 def _(t):
-    hours = weather.testbed_weather(t.silver)
+    hours = testbed.weather(t.silver)
     series = hours.groupBy("lat_cell", "lon_cell").agg(
         F.array_sort(F.collect_list(F.struct("time", "wind_speed_10m", "wave_height"))).alias("h"))
     payload = series.select("lat_cell", "lon_cell", F.to_json(F.struct(F.struct(
@@ -228,6 +228,43 @@ def _(t):
     return _loaded(t)[1]
 
 
+def _two_loads(t, source, table, keys, time):
+    """A first load of older rows whose newest ones change afterwards, then a load of everything."""
+    from wakeline.session import materialise
+
+    source = source.withColumn("n", F.lit(1))
+    early = source.filter(F.col(time).cast("timestamp_ntz") <= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    stored, control = t.spark.createDataFrame([], source.schema), t.spark.createDataFrame([], warehouse.CONTROL_COLUMNS)
+    for rows in (early, source.withColumn("n", F.lit(2))):
+        stored, control = warehouse.incremental_load(stored, control, rows, table, keys, time, t.as_of)
+        stored, control = materialise(stored, "stored"), materialise(control, "control")
+    return stored
+
+
+_EARLY = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _loads_sql(table: str, time: str) -> str:
+    """What lies before the newest time of the first load keeps its first version."""
+    mark = f"(SELECT max({time}) FROM {table} WHERE {time} <= {_EARLY})"
+    return f"SELECT *, CASE WHEN {time} < {mark} THEN 1 ELSE 2 END AS n FROM {table}"
+
+
+@case("snk_12c_load_daily", sql.over(_loads_sql("daily", "stat_date")))
+def _(t):
+    return _two_loads(t, t.daily, "daily_stats", ("stat_date", "data_split"), "stat_date")
+
+
+@case("snk_12d_load_latest", sql.over(_loads_sql("latest", "updated_at")))
+def _(t):
+    return _two_loads(t, t.latest, "vessel_latest", ("mmsi",), "updated_at")
+
+
+@case("snk_12e_load_density", sql.over(_loads_sql("density", "hour_bucket")))
+def _(t):
+    return _two_loads(t, t.density, "traffic_density", _DENSITY_KEY, "hour_bucket")
+
+
 @case("snk_13_message_records", sql.over(f"SELECT mmsi AS key, event_id, base_datetime, lat, lon, vessel_name FROM ais"))
 def _(t):
     sent = tables.message_records(t.reports.select(*REPORT_COLUMNS))

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline import testbed
+from checks import testbed
 from wakeline.operators import density as density_ops
 from wakeline.operators import proximity, tracks
 from wakeline.plans import alerts as alert_plan
@@ -100,7 +100,7 @@ class Tables:
     @cached_property
     def weather(self) -> DataFrame:
         return self.stored(
-            "weather", lambda: weather_plan.dim_weather(weather_plan.testbed_weather(self.silver))
+            "weather", lambda: weather_plan.dim_weather(testbed.weather(self.silver))
         )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from wakeline import config as C
-from wakeline import testbed
+from checks import testbed
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 R = C.EARTH_RADIUS_NM

@@ -6,6 +6,10 @@ Vessels 2k and 2k+1 travel as a pair, every tenth sits in the Houston box, one r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wakeline.functions import cleaning
+from wakeline.plans import weather as weather_plan
 
 _TEMPLATE = """
 WITH b AS (
@@ -66,3 +70,17 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         events=events,
     )
+
+
+def weather(rows: DataFrame) -> DataFrame:
+    """Weather readings derived from the occupied cell-hours of ``rows`` (one cell-hour in five has none)."""
+    hours = rows.select(
+        *[c.alias(n) for n, c in weather_plan.cell_of().items()],
+        cleaning.truncate_time("hour", "base_datetime").alias("time"),
+    ).distinct()
+    y, x, h = F.abs("lat_cell"), F.abs("lon_cell"), F.hour("time")
+    return hours.filter((y + x + h) % 5 != 0).select(
+        "lat_cell", "lon_cell", "time",
+        (((y * 131 + x) * 7 + h) % 300 / F.lit(10.0)).alias("wind_speed_10m"),
+        F.when((y + x) % 3 != 0, (y + h) % 70 / F.lit(10.0)).alias("wave_height"),
+    )

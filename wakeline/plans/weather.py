@@ -116,17 +116,3 @@ def severity_profile(weather: DataFrame) -> DataFrame:
     return weather.agg(
         F.min(s).alias("sev_min"), F.round(steady_avg("weather_severity"), 4).alias("sev_mean"), F.max(s).alias("sev_max")
     )
-
-
-def testbed_weather(rows: DataFrame) -> DataFrame:
-    """Weather readings derived from the occupied cell-hours of ``rows`` (one cell-hour in five has none)."""
-    hours = rows.select(
-        *[c.alias(n) for n, c in cell_of().items()],
-        cleaning.truncate_time("hour", "base_datetime").alias("time"),
-    ).distinct()
-    y, x, h = F.abs("lat_cell"), F.abs("lon_cell"), F.hour("time")
-    return hours.filter((y + x + h) % 5 != 0).select(
-        "lat_cell", "lon_cell", "time",
-        (((y * 131 + x) * 7 + h) % 300 / F.lit(10.0)).alias("wind_speed_10m"),
-        F.when((y + x) % 3 != 0, (y + h) % 70 / F.lit(10.0)).alias("wave_height"),
-    )
