@@ -90,16 +90,13 @@ _POSITION: dict = {}
 def position_model(t):
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _POSITION:
-        _POSITION[key] = supervised.train_position(t.silver, 5, rounds=POSITION_ROUNDS)
+        _POSITION[key] = supervised.train_position(t.silver, 5, rounds=POSITION_ROUNDS, min_rows=100)
     return _POSITION[key]
 
 
 @case("ml_06_position_model")
 def _(t):
-    trained = position_model(t)
-    if trained is None:
-        raise RuntimeError("too few rows to train on")
-    return trained[1]
+    return position_model(t)[1]
 
 
 _H = "coalesce(nullif(heading, 0), nullif(cog, 0), 0)"
@@ -117,8 +114,7 @@ def _(t):
 
 @case("ml_07b_predict_by_model")
 def _(t):
-    trained = position_model(t)
-    return supervised.predict_with_models(t.latest, trained and trained[0], 5, t.as_of)
+    return supervised.predict_with_models(t.latest, position_model(t)[0], 5, t.as_of)
 
 
 def _cellhours(t):

@@ -80,7 +80,8 @@ def test_congestion_model_learns_a_threshold(spark):
 
 
 def test_too_few_rows_give_no_model(tables):
-    assert supervised.train_position(tables.silver.limit(50), 5) is None
+    with pytest.raises(ValueError, match="are needed"):
+        supervised.train_position(tables.silver.limit(50), 5)
 
 
 class _Value:

@@ -127,3 +127,14 @@ def test_cutoff_takes_the_share(spark):
     df = spark.range(1000).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 400) AS at")
     parts = timesplit.split_by_time(df, "at").groupBy("part").count().collect()
     assert {r["part"]: r["count"] for r in parts} == {"train": 800, "test": 200}
+
+
+def test_silver_reads_and_deduplicates_bronze_once(spark, tables):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the whole plan shows only without re-planning
+    try:
+        plan = silver.silver(tables.bronze)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+    assert len([x for x in plan.split("\n") if " Exchange " in x]) <= 4

@@ -35,6 +35,15 @@ def _packed(fields: Sequence[str]) -> Column:
     return F.struct(*[F.col(f) for f in fields])
 
 
+def _whole_rows(df: DataFrame) -> Column:
+    """An aggregate that looks at every column of ``df``.
+
+    A summary that needs a few columns would otherwise be planned over its own, narrower deduplication and shuffle.
+    With this in it, both branches read the same exchange, and Spark computes that once.
+    """
+    return F.max(F.xxhash64(*df.columns))
+
+
 def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(o) for o in order])
 
@@ -180,14 +189,16 @@ def link_plausible(
     packed = _packed(fields)
     w = _in_day((TIME,))
     sofar = w.rowsBetween(Window.unboundedPreceding, -1)
+    # the join below keeps no other rows; said here, it holds for both branches alike
     rows = (
-        _days(df)
+        _days(df).filter(F.col(KEY).isNotNull() & F.col(DAY).isNotNull())
         .withColumn("__now", packed)
         .withColumn("__before", F.lag("__now", 1).over(w))
         .withColumn("__ok", F.when(F.col("__before").isNotNull(), plausible("__before", "__now")))
         .withColumn("__kept", F.last(F.when(F.col("__ok"), F.col("__now")), ignorenulls=True).over(sofar))
     )
     ends = rows.groupBy(KEY, DAY).agg(
+        _whole_rows(df).alias("__rows"),
         F.min_by("__now", TIME).alias("first"),
         F.max_by("__now", TIME).alias("last"),
         F.max_by("__now", F.when(F.col("__ok"), F.col(TIME))).alias("kept"),
@@ -203,6 +214,7 @@ def link_plausible(
             "kept_before",
             F.last("end_kept", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, -1)),
         )
+        .filter("__rows IS NOT NULL")
         .select(
             KEY, DAY,
             F.col("first_ok").alias("__first_ok"),

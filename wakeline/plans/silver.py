@@ -91,10 +91,10 @@ def clean(reports: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 def silver(bronze: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """The full Silver table from gated Bronze rows.
 
-    What can be derived again is not carried through the exchanges: date parts and labels are added at the
-    end, and the two ingest times are no part of Silver.
+    What can be derived again is not carried through the exchanges: cells, date parts and labels are added at the
+    end, and the two ingest times are no part of Silver. Bronze is read and deduplicated once.
     """
-    rows = clean(bronze.drop("event_time", "ingestion_time", "year", "month", "day", "hour"), t)
+    rows = clean(bronze.drop("event_time", "ingestion_time", "year", "month", "day", "hour", "lat_bin", "lon_bin"), t)
     rows = tracks.link_plausible(
         rows, MOTION_FIELDS, lambda a, b: no_teleport(a, b, t), fill=("vessel_name", "vessel_type", "imo")
     )
