@@ -8,14 +8,12 @@ with probability 0.4375**16 + 0.25**10, about 3 in a million; with 0.85 it is ab
 1. Documents with equal sets are one class. The class takes part once, so exact copies cost one row per map task.
 2. Classes are routed by band (one row per band, not per key) as packed blobs to buckets of bounded size.
 3. In a bucket, classes that share a key and whose 64 further minimum hashes do not rule out the threshold (the bound
-   lies 5.7 standard deviations below it) are candidates. A key shared by more than ``SMALL`` classes is walked from
-   pivots: a class that agrees with a pivot in nearly all hashes is not itself a pivot, so copies of one text cost a
-   star, not all pairs.
-4. Candidates are confirmed on full sets. Sets travel once, to the task of their candidate component; components above
-   ``TASK_SHINGLES`` are confirmed by joins instead.
-5. Where two pivots were candidates but ended in different components, the classes they absorbed are compared too, so
-   a link between two of those is not lost.
-6. Components of the confirmed links give each document the smallest document id it reaches.
+   lies 5.7 standard deviations below it) are candidates. A bucket reports a spanning forest of its candidates, not its
+   pairs, and from the forests of all buckets follow the candidate components.
+4. Sets travel once, to the task of their candidate component. There all pairs that the further hashes do not rule out
+   are compared on full sets, but those that are connected already. A component of more than ``TASK_SHINGLES`` is cut
+   into blocks, and each pair of blocks is such a task.
+5. Components of the confirmed links give each document the smallest document id it reaches.
 
 Classes are named by a 64-bit digest of their set. Sets hold 64-bit shingle hashes.
 
@@ -29,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.components import components
-from wakeline.llm.rows import keyed_texts, parts_of
+from wakeline.llm.rows import free_name, keyed_texts, parts_of, small_batches
 from wakeline.llm.text import SPACED, Slice, column, constants, mix, pack, slices, unpack
 from wakeline.session import materialise
 
@@ -41,10 +39,8 @@ SHINGLE = 5
 ROWS, COLUMNS, CHECKS = 16, 10, 64
 #: Of CHECKS agreeing hashes, fewer than this rule a similarity of 0.75 out.
 LEAST_AGREE = 28
-#: Agreement at which a class stands for another one within a large key.
-ABSORB = 60
-SMALL = 64
-BUCKET_ROWS = 400_000
+SMALL = 32
+BUCKET_ROWS = 100_000
 TASK_SHINGLES = 1_000_000
 
 _FACTORS = constants(51, 2 * ROWS + COLUMNS + CHECKS)
@@ -154,62 +150,68 @@ class Bucket:
         small, large = np.minimum(self.size[x], self.size[y]), np.maximum(self.size[x], self.size[y])
         return (4 * small >= 3 * large) & ((self.checks[x] == self.checks[y]).sum(axis=1) >= LEAST_AGREE)
 
-    def candidates(self) -> Iterator[tuple[np.ndarray, bool]]:
-        """Index pairs that share a key (band and single) and are plausible; or (true) pivots and whom they absorb."""
-        n = len(self.band)
-        starts = np.flatnonzero(np.concatenate(([True], self.band[1:] != self.band[:-1])))
-        length = np.diff(np.append(starts, n))
-        run = np.repeat(length, length)
-        last = np.repeat(starts + length, length)
+    def small_runs(self, starts: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Candidates among up to ``SMALL`` classes of a band, by their distance in the run."""
+        run, last = np.repeat(length, length), np.repeat(starts + length, length)
         small = np.flatnonzero((run > 1) & (run <= SMALL))
         for step in range(1, int(run[small].max()) if len(small) else 0):
             x = small[small + step < last[small]]
-            for at in range(0, len(x), 100_000):
-                a = x[at : at + 100_000]
-                a = a[(self.singles[a] == self.singles[a + step]).any(axis=1)]
-                a = a[self.plausible(a, a + step)]
-                yield np.stack((a, a + step)), False
+            x = x[(self.singles[x] == self.singles[x + step]).any(axis=1)]
+            x = x[self.plausible(x, x + step)]
+            yield x, x + step
+
+    def large_run(self, members: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A spanning forest of the candidates of one key: each class looks once at those not reached so far."""
+        left, reached = members, []
+        while len(left):
+            if not reached:
+                reached, left = [left[0]], left[1:]
+            at = reached.pop()
+            fit = self.plausible(left, at)
+            if fit.any():
+                yield np.full(int(fit.sum()), at), left[fit]
+                reached += left[fit].tolist()
+                left = left[~fit]
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Candidate pairs of classes that connect what the candidates of this bucket connect, and close no circle."""
+        n = len(self.band)
+        starts = np.flatnonzero(np.concatenate(([True], self.band[1:] != self.band[:-1]))) if n else np.zeros(0, np.int64)
+        length = np.diff(np.append(starts, n))
+        top: dict[int, int] = {}
+        out: list[tuple[int, int]] = []
+
+        def join(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> None:
+            for x, y in found:
+                for a, b in zip(self.cid[x].tolist(), self.cid[y].tolist(), strict=True):
+                    ra, rb = root(top, a), root(top, b)
+                    if ra != rb:
+                        top[max(ra, rb)] = min(ra, rb)
+                        out.append((a, b))
+
+        join(self.small_runs(starts, length))
         for lo, hi in zip(starts[length > SMALL].tolist(), (starts + length)[length > SMALL].tolist(), strict=True):
             for j in range(COLUMNS):
                 order = lo + np.argsort(self.singles[lo:hi, j], kind="stable")
                 edge = np.flatnonzero(np.concatenate(([True], np.diff(self.singles[order, j]) != 0, [True])))
-                for a, b in zip(edge[:-1], edge[1:], strict=True):
+                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                     if b - a > 1:
-                        yield from self.from_pivots(order[a:b])
-
-    def from_pivots(self, members: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
-        """Pairs of pivots with all others; in a large key, who agrees with a pivot in nearly all hashes is no pivot."""
-        left = np.ones(len(members), bool)
-        for k in range(len(members)):
-            if left[k]:
-                pivot, others = members[k], np.delete(members, k)
-                fit = others[self.plausible(others, pivot)]
-                yield np.stack((np.full(len(fit), pivot), fit)), False
-                if len(members) > SMALL:
-                    same = left & ((self.checks[members] == self.checks[pivot]).sum(axis=1) >= ABSORB)
-                    left &= ~same
-                    taken = members[same]
-                    yield np.stack((np.full(len(taken), pivot), taken)), True
+                        join(self.large_run(order[a:b]))
+        return out
 
 
-def distinct_pairs(found: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+def root(top: dict[int, int], x: int) -> int:
+    while (up := top.get(x, x)) != x:
+        top[x] = x = top.get(up, up)
+    return x
 
 
-def pairs_of(bucket: Bucket) -> pa.Table:
-    found: dict[bool, list[np.ndarray]] = {False: [], True: []}
-    for index, absorbed in bucket.candidates():
-        pairs = bucket.cid[index]
-        found[absorbed].append(pairs if absorbed else np.sort(pairs, axis=0))
-    plain, stars = distinct_pairs(found[False]), distinct_pairs(found[True])
-    both = np.concatenate((plain, stars), axis=1)
-    return pa.table({
-        "a": pa.array(both[0]), "b": pa.array(both[1]), "absorbed": pa.array(np.arange(both.shape[1]) >= plain.shape[1])
-    })
+def links_table(links: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def bucket_pairs(table: pa.Table) -> pa.Table:
-    return pairs_of(Bucket(table.column("blob").to_pylist()))
+def bucket_forest(table: pa.Table) -> pa.Table:
+    return links_table(Bucket(table.column("blob").to_pylist()).forest())
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,79 +239,60 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common >= 75 * (len(x) + len(y) - common)
 
 
-def confirm(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-    """The links among candidate pairs, without those between classes that are connected already."""
-    flat = column(sets, "shingles")
+def settle(group: pa.Table) -> pa.Table:
+    """The links that connect the classes of each candidate component in this task, found over all its pairs."""
+    flat = column(group, "shingles")
     offsets, values = flat.offsets.to_numpy(), flat.values.to_numpy().view(np.uint64)
-    place = {c: k for k, c in enumerate(column(sets, "cid").to_pylist())}
-    top: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := top.get(x, x)) != x:
-            top[x] = x = top.get(up, up)
-        return x
-
+    cids, comps = column(group, "cid").to_numpy(), column(group, "comp").to_numpy()
+    checks = np.frombuffer(b"".join(column(group, "checks").to_pylist()), np.uint8).reshape(-1, CHECKS)
+    _, first = np.unique(cids, return_index=True)
+    order = first[np.lexsort((first, comps[first]))]
+    edge = np.flatnonzero(np.concatenate(([True], np.diff(comps[order]) != 0, [True]))) if len(order) else np.zeros(1, np.int64)
+    sets = [values[offsets[k] : offsets[k + 1]] for k in range(len(cids))]
     out: list[tuple[int, int]] = []
-    for a, b in zip(column(pairs, "a").to_pylist(), column(pairs, "b").to_pylist(), strict=True):
-        ra, rb = root(a), root(b)
-        if ra != rb and a in place and b in place:
-            x, y = place[a], place[b]
-            if linked(values[offsets[x] : offsets[x + 1]], values[offsets[y] : offsets[y + 1]]):
-                top[max(ra, rb)] = min(ra, rb)
-                out.append((a, b))
-    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        mine = order[lo:hi]
+        size = np.array([len(sets[k]) for k in mine])
+        label = np.arange(len(mine))
+        for i in range(len(mine) - 1):
+            rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+            rest = rest[4 * np.minimum(size[rest], size[i]) >= 3 * np.maximum(size[rest], size[i])]
+            agree = (checks[mine[rest]] == checks[mine[i]]).sum(axis=1)
+            rest = rest[agree >= LEAST_AGREE][np.argsort(-agree[agree >= LEAST_AGREE], kind="stable")]
+            for j in rest.tolist():
+                if label[j] != label[i] and linked(sets[mine[i]], sets[mine[j]]):
+                    label[label == label[j]] = label[i]
+                    out.append((int(cids[mine[i]]), int(cids[mine[j]])))
+    return links_table(out)
 
 
 def confirmed(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The candidate pairs that are links, thinned where they would close a circle within a task."""
+    """Links that connect all classes that links connect, within the components of the candidate ``pairs``."""
     groups = components(pairs).select(F.col("node").alias("cid"), F.col("label").alias("comp"))
-    wanted = groups.join(classes.select("cid", "class_id", "n_shingles"), "cid")
+    member = classes.select("cid", "class_id", "n_shingles", F.expr(f"substring(sketch, {1 + _SKETCH.itemsize - CHECKS}, {CHECKS})").alias("checks"))
+    wanted = groups.join(member, "cid")
     sizes = wanted.groupBy("comp").agg(F.sum("n_shingles").alias("weight"))
     wanted = materialise(wanted.join(sizes, "comp"), "wanted")
-    total = wanted.agg(F.sum("n_shingles")).first()[0] or 0
-    tasks = parts_of(total, TASK_SHINGLES)
+    tasks = parts_of(wanted.agg(F.sum("n_shingles")).first()[0] or 0, TASK_SHINGLES)
+    # both sides by their keys whatever their sizes here, so that the plan of a small corpus is that of a large one
     sets = (
-        texts.join(wanted.select("cid", F.col("class_id").alias("doc_id")), "doc_id").select("cid", "text")
+        texts.join(wanted.select("cid", F.col("class_id").alias("doc_id")).hint("merge"), "doc_id").select("cid", "text")
         .mapInArrow(set_batches, "cid long, shingles array<long>")
     )
-    sets = materialise(sets.join(wanted.select("cid", "comp", "weight"), "cid"), "sets")
-    tagged = pairs.join(wanted.select(F.col("cid").alias("a"), "comp", "weight"), "a")
-    task = F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("task")
-    light, heavy = F.col("weight") <= TASK_SHINGLES, F.col("weight") > TASK_SHINGLES
-    near = (
-        tagged.filter(light).select(task, "a", "b").groupBy("task")
-        .cogroup(sets.filter(light).select(task, "cid", "shingles").groupBy("task"))
-        .applyInArrow(confirm, "a long, b long")
-    )
-    if wanted.filter(heavy).isEmpty():
-        return near
-    big = sets.filter(heavy).dropDuplicates(["cid"])
-    both = (
-        tagged.filter(heavy).select("a", "b")
-        .join(big.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(big.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    far = both.filter(100 * common >= 75 * (F.size("x") + F.size("y") - common)).select("a", "b")
-    return near.unionByName(far)
-
-
-def bridges(pairs: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of absorbed classes not compared so far: their pivots are candidates that ended in different components."""
-
-    def labelled(df: DataFrame, name: str) -> DataFrame:
-        found = labels.select(F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
-        return df.join(found, name, "left").withColumn(f"label_{name}", F.coalesce(f"label_{name}", name))
-
-    apart = labelled(labelled(pairs, "a"), "b").filter("label_a <> label_b").select("a", "b")
-    left, right = (stars.select(F.col("a").alias(x), F.col("b").alias(y)) for x, y in (("a", "x"), ("b", "y")))
-    cross = labelled(labelled(apart.join(left, "a").join(right, "b"), "x"), "y").filter("label_x <> label_y")
-    return cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    found = sets.join(wanted.select("cid", "comp", "checks", "weight"), "cid")
+    # a block is half a task: two of them meet in one
+    blocks = F.ceil(2 * F.col("weight") / TASK_SHINGLES)
+    mine = F.pmod(F.xxhash64("cid"), blocks)
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda x: F.struct(F.least(x, mine).alias("i"), F.greatest(x, mine).alias("j")))
+    whole = F.array(F.struct(F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("i"), F.lit(-1).cast("long").alias("j")))
+    dealt = found.withColumn("block", F.explode(F.when(F.col("weight") <= TASK_SHINGLES, whole).otherwise(pair)))
+    dealt = dealt.withColumn("owner", F.when(F.col("weight") <= TASK_SHINGLES, F.lit(0).cast("long")).otherwise(F.col("comp")))
+    return dealt.select("owner", "block", "cid", "comp", "checks", "shingles").groupBy("owner", "block").applyInArrow(settle, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, a row for each document row."""
-    texts = keyed_texts(documents)
+    texts = small_batches(keyed_texts(documents))
     sketches = materialise(
         texts.mapInArrow(sketch_batches, "doc_id long, n_shingles long, cid long, check long, sketch binary"), "sketches"
     )
@@ -319,18 +302,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     buckets = parts_of(classes.count() * ROWS, BUCKET_ROWS)
     blobs = classes.mapInArrow(route(buckets), "bucket int, blob binary")
-    found = materialise(blobs.groupBy("bucket").applyInArrow(bucket_pairs, "a long, b long, absorbed boolean").distinct(), "pairs")
-    pairs = found.filter("not absorbed").select("a", "b")
+    pairs = materialise(blobs.groupBy("bucket").applyInArrow(bucket_forest, "a long, b long"), "pairs")
     # rows that repeat an id with another text are one node: tie their classes to the class of the smallest digest
     ties = (
         full.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("most")).filter("a <> most")
         .join(full.select("doc_id", F.col("cid").alias("b")), "doc_id").filter("a <> b").select("a", "b")
     )
-    links = materialise(confirmed(texts, classes, pairs).unionByName(ties), "links")
-    labels = components(links)
-    cross = materialise(bridges(pairs, found.filter("absorbed").select("a", "b"), labels), "bridges")
-    if not cross.isEmpty():
-        labels = components(links.unionByName(confirmed(texts, classes, cross)))
+    labels = components(confirmed(texts, classes, pairs).unionByName(ties))
     labels = labels.select(F.col("node").alias("cid"), "label")
     named = classes.select("cid", "class_id").join(labels, "cid", "left")
     named = named.withColumn("label", F.coalesce("label", "cid"))
@@ -344,8 +322,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents that are kept, all columns as they are. Of rows that repeat an id, the first by text stays."""
+    """The documents that are kept, all columns as they are; of rows that repeat an id, the first by text."""
     kept = near_duplicates(documents).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = documents.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.unionByName(documents.filter("doc_id is null"))
-
+    place = free_name("place", *documents.columns)
+    named = documents.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    first = named.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter(F.col(place) == 1)
+    return first.drop(place).unionByName(documents.filter("doc_id is null"))
