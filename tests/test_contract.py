@@ -7,6 +7,8 @@ from checks.compare import connection, difference
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+#: Queries that rightly find nothing in the smallest folder; all others must return rows.
+EMPTY_HERE = {"prj_19_snapshot", "prj_23_congestion_zones", "snk_16_rewrite_clustered"}
 
 
 @pytest.fixture(scope="module")
@@ -25,4 +27,4 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_duckdb(spark, con, name):
-    assert difference(spark, QUERIES[name], ORACLES[name], SF, con, allow_empty=True) is None
+    assert difference(spark, QUERIES[name], ORACLES[name], SF, con, allow_empty=name in EMPTY_HERE) is None
