@@ -113,12 +113,8 @@ WHERE abs(next_lat - lat) < 1 AND abs(next_lon - lon) < 1"""
 
 @case("wn_11_future_position", sql.over(" UNION ALL ".join(_ahead(m, n) for m, n in ((5, 10), (10, 21), (15, 32)))))
 def _(t):
-    parts = [
-        timesplit.future_position(t.silver, m).select(
-            *KEYS.split(", "), F.lit(m).alias("minutes"), "next_lat", "next_lon", "delta_lat", "delta_lon")
-        for m in (5, 10, 15)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return timesplit.future_positions(t.silver, (5, 10, 15)).select(
+        *KEYS.split(", "), "minutes", "next_lat", "next_lon", "delta_lat", "delta_lon")
 
 
 PEAKS = """

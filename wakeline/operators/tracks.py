@@ -9,7 +9,7 @@ back on (mmsi, day), the key the big side is already partitioned by.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,36 +100,45 @@ def with_neighbour(
 def with_row_ahead(
     df: DataFrame, fields: Sequence[str], steps: int, name: str = "ahead", order: Sequence[str] = (TIME,),
 ) -> DataFrame:
-    """Adds struct ``name`` with ``fields`` of the row ``steps`` further on the same track, else null.
+    """Adds struct ``name`` with ``fields`` of the row ``steps`` further on the same track, else null."""
+    return with_rows_ahead(df, fields, {name: steps}, order)
 
-    Within a day this is a plain ``lead``. The last ``steps`` rows of a day look past midnight: the day
-    summary holds the first ``steps`` rows of each day, and from them the ``steps`` rows that follow each
-    day. As no listed day is empty, at most ``steps`` later days are needed.
+
+def with_rows_ahead(
+    df: DataFrame, fields: Sequence[str], steps: Mapping[str, int], order: Sequence[str] = (TIME,),
+) -> DataFrame:
+    """Adds a struct with ``fields`` of the row so many ``steps`` further on the same track for each name, else null.
+
+    Within a day these are plain ``lead``s. The last rows of a day look past midnight: the day summary holds the
+    first rows of each day, as many as the longest step, and from them the rows that follow each day. As no listed
+    day is empty, at most that many later days are needed. All steps share one window and one summary.
     """
-    packed = _packed(fields)
+    packed, most = _packed(fields), max(steps.values())
     w = _in_day(order)
     rows = _days(df)
     heads = (
         rows.select(KEY, DAY, packed.alias("__f"), F.row_number().over(w).alias("__rn"))
-        .filter(F.col("__rn") <= steps)
+        .filter(F.col("__rn") <= most)
         .groupBy(KEY, DAY).agg(F.array_sort(F.collect_list(F.struct("__rn", "__f"))).alias("__head"))
     )
-    later = _over_days().rowsBetween(1, steps)
+    later = _over_days().rowsBetween(1, most)
     carry = heads.select(
         KEY, DAY,
-        F.slice(F.flatten(F.collect_list(F.col("__head.__f")).over(later)), 1, steps).alias("__following"),
+        F.slice(F.flatten(F.collect_list(F.col("__head.__f")).over(later)), 1, most).alias("__following"),
     )
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    beyond = F.col("__rn") + steps - F.col("__n")
+
+    def found(name: str, n: int) -> Column:
+        beyond = F.col("__rn") + n - F.col("__n")
+        return F.when(beyond <= 0, F.col(name)).otherwise(F.try_element_at("__following", beyond.cast("int")))
+
     return (
         rows.withColumns({
-            name: F.lead(packed, steps).over(w), "__rn": F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole),
+            **{name: F.lead(packed, n).over(w) for name, n in steps.items()},
+            "__rn": F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole),
         })
         .join(carry, [KEY, DAY], "left")
-        .withColumn(
-            name,
-            F.when(beyond <= 0, F.col(name)).otherwise(F.try_element_at("__following", beyond.cast("int"))),
-        )
+        .withColumns({name: found(name, n) for name, n in steps.items()})
         .drop("__rn", "__n", "__following", DAY)
     )
 
