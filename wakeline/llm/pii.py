@@ -18,6 +18,8 @@ repeat get the same pseudonyms. Of very short values a few are their own pseudon
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ ANY = "|".join(f"(?:{shape})" for shape in SHAPES.values())
 CALENDAR_START, CALENDAR = "1800-01-01", (27, 5411)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often the expression mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def digest(key: Column, kind: str, turn: Column, text: Column) -> Column:
     """128 hexadecimal digits that depend on everything given."""
     seed = F.concat_ws("|", key, F.lit(kind), turn.cast("string"), text)
@@ -73,11 +80,10 @@ def permute_text(key: Column, kind: str, text: Column, hexadecimal: bool = False
     """A keyed permutation of the texts with the same classes of characters; halves of at most 32 characters."""
 
     def shifted(half: Column, hexes: Column) -> Column:
-        chars = F.transform(
-            F.filter(F.sequence(F.lit(0), F.lit(31)), lambda j: j < F.length(half)),
-            lambda j: moved(F.substring(half, j + 1, F.lit(1)), number_at(hexes, j * 4 + 1), hexadecimal),
-        )
-        return F.array_join(chars, "")
+        places = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda j: j < F.length(half))
+        return F.array_join(let(hexes, lambda h: F.transform(
+            places, lambda j: moved(F.substring(half, j + 1, F.lit(1)), number_at(h, j * 4 + 1), hexadecimal)
+        )), "")
 
     def turn(state: Column, i: Column) -> Column:
         left, right = state["left"], state["right"]
@@ -85,11 +91,12 @@ def permute_text(key: Column, kind: str, text: Column, hexadecimal: bool = False
             i % 2 == 1, F.struct(shifted(left, digest(key, kind, i, right)).alias("left"), right.alias("right"))
         ).otherwise(F.struct(left.alias("left"), shifted(right, digest(key, kind, i, left)).alias("right")))
 
-    middle = F.floor(F.length(text) / 2).cast("int")
-    start = F.struct(
-        F.substring(text, F.lit(1), middle).alias("left"), F.substring(text, middle + 1, F.length(text)).alias("right")
-    )
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.concat(s["left"], s["right"]))
+    def network(t: Column) -> Column:
+        middle = F.floor(F.length(t) / 2).cast("int")
+        start = F.struct(F.substring(t, F.lit(1), middle).alias("left"), F.substring(t, middle + 1, F.length(t)).alias("right"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.concat(s["left"], s["right"]))
+
+    return let(text, network)
 
 
 def permute_pair(
@@ -126,64 +133,76 @@ def refilled(text: Column, digits: Column) -> Column:
     """``text`` with its digits replaced in turn; the number of digits is the same."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
 
-    def step(s: Column, i: Column) -> Column:
-        char = F.substring(text, i, F.lit(1))
-        return F.when(
-            char.between("0", "9"),
-            F.struct(F.concat(s["out"], F.substring(digits, s["next"], F.lit(1))).alias("out"), (s["next"] + 1).alias("next")),
-        ).otherwise(F.struct(F.concat(s["out"], char).alias("out"), s["next"].alias("next")))
+    def fill(new: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            char = F.substring(text, i, F.lit(1))
+            return F.when(
+                char.between("0", "9"),
+                F.struct(F.concat(s["out"], F.substring(new, s["next"], F.lit(1))).alias("out"), (s["next"] + 1).alias("next")),
+            ).otherwise(F.struct(F.concat(s["out"], char).alias("out"), s["next"].alias("next")))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda s: s["out"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda s: s["out"])
+    return let(digits, fill)
 
 
 def luhn_sum(digits: Column) -> Column:
     """Sum with every second digit from the right doubled, starting left of the last one."""
 
-    def weighed(i: Column) -> Column:
-        d = F.substring(digits, -i - 1, F.lit(1)).cast("int")
+    def weighed(d: Column, i: Column) -> Column:
         doubled = d * 2 - F.when(d > 4, 9).otherwise(0)
         return F.when(i % 2 == 1, doubled).otherwise(d)
 
-    return F.aggregate(
-        F.transform(F.sequence(F.lit(0), F.length(digits) - 1), weighed), F.lit(0), lambda a, b: a + b
-    )
+    def total(text: Column) -> Column:
+        weights = F.transform(
+            F.sequence(F.lit(0), F.length(text) - 1), lambda i: weighed(F.substring(text, -i - 1, F.lit(1)).cast("int"), i)
+        )
+        return F.aggregate(weights, F.lit(0), lambda a, b: a + b)
+
+    return let(digits, total)
 
 
 def mod97(text: Column) -> Column:
     """The remainder of an account number with letters as 10 to 35."""
 
-    def step(rest: Column, i: Column) -> Column:
-        value = F.conv(F.substring(text, i, F.lit(1)), 36, 10).cast("int")
-        return (rest * F.when(value > 9, 100).otherwise(10) + value) % 97
+    def rest(whole: Column) -> Column:
+        def step(rest: Column, i: Column) -> Column:
+            value = F.conv(F.substring(whole, i, F.lit(1)), 36, 10).cast("int")
+            return (rest * F.when(value > 9, 100).otherwise(10) + value) % 97
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(whole)), F.lit(0), step)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), step)
+    return let(text, rest)
 
 
 def card(key: Column, hit: Column) -> Column:
     """First digit and length stay; the last digit is the right check digit again."""
-    d = digits_of(hit)
-    body = F.concat(F.substring(d, 1, 1), permute_text(key, "card", F.substring(d, F.lit(2), F.length(d) - 2)))
-    last = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return F.when(luhn_sum(d) % 10 == 0, refilled(hit, F.concat(body, last.cast("string"))))
+
+    def changed(d: Column) -> Column:
+        body = F.concat(F.substring(d, 1, 1), permute_text(key, "card", F.substring(d, F.lit(2), F.length(d) - 2)))
+        return let(body, lambda x: F.concat(x, ((10 - luhn_sum(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")))
+
+    return let(digits_of(hit), lambda d: F.when(luhn_sum(d) % 10 == 0, refilled(hit, changed(d))))
 
 
 def phone(key: Column, hit: Column) -> Column:
     """The country code stays; a North American number stays one (no area or exchange below 200)."""
-    d = digits_of(hit)
-    area, exchange, line = part(d, 2, 3), part(d, 5, 3), part(d, 8, 4)
-    pair = permute_pair(
-        key, "phone", (area - 200) * 100 + F.floor(line / 100), (exchange - 200) * 100 + line % 100, (80_000, 80_000)
-    )
-    american = F.transform(F.array(pair), lambda p: F.concat(
-        F.lit("1"), padded(F.floor(p["left"] / 100) + 200, 3), padded(F.floor(p["right"] / 100) + 200, 3),
-        padded(p["left"] % 100, 2), padded(p["right"] % 100, 2),
-    ))[0]
-    code = F.least(F.length(F.regexp_extract(hit, r"^\+(\d{1,3})", 1)), F.lit(2))
-    other = F.concat(F.substring(d, F.lit(1), code), permute_text(key, "phone", F.substring(d, code + 1, F.length(d))))
-    valid = (area >= 200) & (exchange >= 200)
-    return F.when(F.length(d) > 15, F.lit(None)).otherwise(
-        refilled(hit, F.when((F.length(d) == 11) & d.startswith("1") & valid, american).otherwise(other))
-    )
+
+    def changed(d: Column) -> Column:
+        area, exchange, line = part(d, 2, 3), part(d, 5, 3), part(d, 8, 4)
+        pair = permute_pair(
+            key, "phone", (area - 200) * 100 + F.floor(line / 100), (exchange - 200) * 100 + line % 100, (80_000, 80_000)
+        )
+        american = let(pair, lambda p: F.concat(
+            F.lit("1"), padded(F.floor(p["left"] / 100) + 200, 3), padded(F.floor(p["right"] / 100) + 200, 3),
+            padded(p["left"] % 100, 2), padded(p["right"] % 100, 2),
+        ))
+        code = F.least(F.length(F.regexp_extract(hit, r"^\+(\d{1,3})", 1)), F.lit(2))
+        other = F.concat(F.substring(d, F.lit(1), code), permute_text(key, "phone", F.substring(d, code + 1, F.length(d))))
+        ours = (F.length(d) == 11) & d.startswith("1") & (area >= 200) & (exchange >= 200)
+        return F.when(F.length(d) <= 15, refilled(hit, F.when(ours, american).otherwise(other)))
+
+    return let(digits_of(hit), changed)
 
 
 def ssn(key: Column, hit: Column) -> Column:
@@ -198,7 +217,7 @@ def ssn(key: Column, hit: Column) -> Column:
         return F.concat(padded(new + F.when(new > 665, 1).otherwise(0), 3), padded(p["left"] % 99 + 1, 2), padded(p["right"] + 1, 4))
 
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
-    return F.when(valid, refilled(hit, F.transform(F.array(pair), written)[0]))
+    return F.when(valid, refilled(hit, let(pair, written)))
 
 
 def ip(key: Column, hit: Column) -> Column:
@@ -210,10 +229,10 @@ def ip(key: Column, hit: Column) -> Column:
     size = [F.element_at(F.array(F.lit(10), F.lit(90), F.lit(156)), F.length(t)).cast("long") for t in text]
     left, right = ((octets[k] - low[k]) * size[k + 1] + octets[k + 1] - low[k + 1] for k in (0, 2))
     pair = permute_pair(key, "ip", left, right, (size[0] * size[1], size[2] * size[3]))
-    new = F.transform(F.array(pair), lambda p: F.concat_ws(".", *(
+    new = let(pair, lambda p: F.concat_ws(".", *(
         x.cast("string") for k, side in ((0, "left"), (2, "right"))
         for x in (F.floor(p[side] / size[k + 1]) + low[k], p[side] % size[k + 1] + low[k + 1])
-    )))[0]
+    )))
     valid = hit.rlike(r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$") & (F.greatest(*octets) < 256)
     return F.when(valid, new)
 
@@ -223,7 +242,7 @@ def moved_day(key: Column, day: Column) -> Column:
     start = F.lit(CALENDAR_START).cast("date")
     n = F.datediff(day, start)
     pair = permute_pair(key, "date", F.floor(n / CALENDAR[1]), n % CALENDAR[1], CALENDAR)
-    new = F.transform(F.array(pair), lambda p: F.date_add(start, (p["left"] * CALENDAR[1] + p["right"]).cast("int")))[0]
+    new = let(pair, lambda p: F.date_add(start, (p["left"] * CALENDAR[1] + p["right"]).cast("int")))
     return F.when(n.between(0, CALENDAR[0] * CALENDAR[1] - 1), new)
 
 
@@ -241,29 +260,34 @@ def day_date(key: Column, hit: Column) -> Column:
     """Day first where that is a day of the calendar, else month first."""
     first, second, year, sep = F.substring(hit, 1, 2), F.substring(hit, 4, 2), F.substring(hit, 7, 4), F.substring(hit, 3, 1)
     european, american = calendar_day(year, second, first), calendar_day(year, first, second)
-    new = moved_day(key, F.coalesce(european, american))
-    d, m, y = (F.date_format(new, x) for x in ("dd", "MM", "yyyy"))
-    return F.when(european.isNotNull(), F.concat(d, sep, m, sep, y)).when(american.isNotNull(), F.concat(m, sep, d, sep, y))
+
+    def written(new: Column) -> Column:
+        d, m, y = (F.date_format(new, x) for x in ("dd", "MM", "yyyy"))
+        return F.when(european.isNotNull(), F.concat(d, sep, m, sep, y)).when(american.isNotNull(), F.concat(m, sep, d, sep, y))
+
+    return let(moved_day(key, F.coalesce(european, american)), written)
 
 
 def iban(key: Column, hit: Column) -> Column:
     """The country and the places of letters stay; the check digits are right again."""
-    plain = F.regexp_replace(hit, " ", "")
-    country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
-    new = permute_text(key, "iban", account)
-    check = padded(98 - mod97(F.concat(new, country, F.lit("00"))), 2)
-    whole = F.concat(country, check, new)
-    spaced = F.aggregate(
-        F.sequence(F.lit(1), F.length(hit)), F.struct(F.lit("").alias("out"), F.lit(1).alias("next")),
-        lambda s, i: F.when(
+
+    def spaced(whole: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(hit)), start, lambda s, i: F.when(
             F.substring(hit, i, F.lit(1)) == " ", F.struct(F.concat(s["out"], F.lit(" ")).alias("out"), s["next"].alias("next"))
         ).otherwise(
             F.struct(F.concat(s["out"], F.substring(whole, s["next"], F.lit(1))).alias("out"), (s["next"] + 1).alias("next"))
-        ),
-        lambda s: s["out"],
-    )
-    valid = (mod97(F.concat(account, F.substring(plain, 1, 4))) == 1) & F.length(plain).between(15, 34)
-    return F.when(valid, spaced)
+        ), lambda s: s["out"])
+
+    def changed(plain: Column) -> Column:
+        country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+        valid = F.length(plain).between(15, 34) & (mod97(F.concat(account, F.substring(plain, 1, 4))) == 1)
+        whole = let(permute_text(key, "iban", account), lambda new: F.concat(
+            country, padded(98 - mod97(F.concat(new, country, F.lit("00"))), 2), new
+        ))
+        return F.when(valid, let(whole, spaced))
+
+    return let(F.regexp_replace(hit, " ", ""), changed)
 
 
 def email(key: Column, hit: Column) -> Column:
@@ -276,11 +300,13 @@ def email(key: Column, hit: Column) -> Column:
 
 def secret(key: Column, hit: Column) -> Column:
     """The name in front stays; the hexadecimal digits stay in their case."""
-    value = F.regexp_extract(hit, r"[0-9A-Fa-f]{16,}$", 0)
-    new = permute_text(key, "secret", F.lower(value), hexadecimal=True)
-    return F.concat(
-        F.substring(hit, F.lit(1), F.length(hit) - F.length(value)), F.when(value.rlike("[A-F]"), F.upper(new)).otherwise(new)
-    )
+
+    def changed(value: Column) -> Column:
+        new = permute_text(key, "secret", F.lower(value), hexadecimal=True)
+        front = F.substring(hit, F.lit(1), F.length(hit) - F.length(value))
+        return F.concat(front, let(new, lambda x: F.when(value.rlike("[A-F]"), F.upper(x)).otherwise(x)))
+
+    return let(F.regexp_extract(hit, r"[0-9A-Fa-f]{16,}$", 0), changed)
 
 
 _KINDS = {
