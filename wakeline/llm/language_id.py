@@ -5,8 +5,8 @@ the probability of a word is the sum, over all ways to cut it into pieces, of th
 forward pass over the word's bytes sums them without listing them. The score of a text is the posterior of the best
 language over the product of its words, all languages being equally likely beforehand.
 
-Learning: of each language at most ``SAMPLE`` labelled documents of at most ``LONGEST`` bytes, those with the smallest
-hash of their id, whole; the ``LANGUAGES`` most frequent labels at most. Their word counts are summed by Spark, and a few
+Learning: of each language at most ``SAMPLE`` labelled documents of at most ``LONGEST`` bytes, chosen by a hash of their
+id, whole; the ``LANGUAGES`` most frequent labels at most. Their word counts are summed by Spark, and a few
 rounds of expectation-maximisation fit the piece probabilities to them. The model is a table of pieces by languages,
 whatever the corpus. Everything else covers all texts, whole.
 
@@ -245,11 +245,15 @@ def remainder(df: DataFrame) -> Column:
 def learn(labelled: DataFrame, path: str = VOCABULARY) -> Model:
     """A model of the languages of ``labelled(doc_id, text, lang)``, from the documents outside the held-out fold."""
     rows = labelled.filter((remainder(labelled) != 0) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    names = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    short = rows.filter(F.col("lang").isin(names) & (F.octet_length("text") <= LONGEST))
-    chosen = short.select("lang", "doc_id").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
-    sample = short.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    short = rows.filter(F.octet_length("text") <= LONGEST)
+    counts = short.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # about twice the sample by a share of the hashes, so that few rows meet where it is cut to size
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    near = F.lit(False)
+    for r in counts:
+        near = near | ((F.col("lang") == r["lang"]) & (part < min(1 << 30, ((2 * SAMPLE) << 30) // r["count"])))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    sample = short.filter(near).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
     # a word's first bytes are one stretch, as in scoring; the rest of a longer word is rare enough to leave out
     word = F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")
     counted = sample.select("lang", word).filter(f"word <> '' and octet_length(word) < {WORD}").groupBy("lang", "word").count()
