@@ -167,7 +167,8 @@ def fit(counted: list[tuple[str, str, int]], pieces: list[bytes], rounds: int =
     for x, word, n in counted:
         counts_of.setdefault(word, []).append((lang[x], n))
     table = Pieces(pieces)
-    step = chunk(len(languages))
+    # the driver's memory is the scarcer one, and a fit has two tables of sums
+    step = chunk(4 * len(languages))
     for _ in range(rounds):
         counts = np.full(chance.shape, 0.1)
         for at in range(0, len(words), step):
