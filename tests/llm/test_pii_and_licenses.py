@@ -113,6 +113,53 @@ def test_long_text(spark):
     assert len(changed(spark, [text])[0]) == len(text)
 
 
+def test_cards_next_to_other_digits(spark):
+    cases = [
+        ("", "4111 1111 1111 1111", " 12/25"), ("", "4111111111111111", " 123"), ("7 ", "4111 1111 1111 1111", ""),
+        ("1234 5678 ", "4111-1111-1111-1111", " 192.168.1.300"), ("no. 12 ", "3782 822463 10005", " 4444 22 1"),
+        ("", "4111 1111 1111 1111", " 5x"), ("12345678901234567890 ", "5500000000000004", " 99999999999999999999"),
+        ("8 ", with_check("912345678901234"), " 1"),
+    ]
+    rows = changed(spark, ["".join(case) for case in cases])
+    for (front, number, behind), got in zip(cases, rows, strict=True):
+        plain = re.sub(r"\D", "", number)
+        assert got.startswith(front) and got.endswith(behind)
+        middle = got[len(front) : len(got) - len(behind)]
+        assert re.sub(r"\d", "9", middle) == re.sub(r"\d", "9", number)
+        assert re.sub(r"\D", "", middle) == with_check(plain[0] + permute("card", plain[1:-1]))
+
+
+def test_all_values_of_a_run_of_digits(spark):
+    number = "4111 1111 1111 1111"
+    (one,) = changed(spark, [number])
+    same = ["4112 1111 1111 1111 12", "12 5 77 31 8 90 4 2 61 77 10 33 25 1"]
+    assert changed(spark, same) == same
+    rest = ["2021-02-28", "123-45-6789", "28.02.2021", "192.168.1.77", "5a@b.example.com", "+1 523 555 1055"]
+    alone = changed(spark, rest)
+    got = changed(spark, [f"{number} {x}" for x in rest] + [f"{number} 5500 0000 0000 0004 {number}"])
+    assert got[:-1] == [f"{one} {x}" for x in alone]
+    assert got[-1] == f"{one} {changed(spark, ['5500 0000 0000 0004'])[0]} {one}"
+    df = spark.createDataFrame([(1, f"{number} {number} 12/25")], "doc_id long, text string")
+    assert [(r["n_replaced"], r["kinds"]) for r in pii.report(df, KEY).collect()] == [(2, "card,card")]
+
+
+def test_account_numbers_before_other_words(spark):
+    numbers = ["AL35 2021 1109 0000 0000 0123 4567", "ES91 2100 0418 4502 0005 1332", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    behind = ["", " AND MORE", " AND", " 2021 PLUS", " 4111 1111 1111 1111"]
+    got = changed(spark, [n + b for n in numbers for b in behind])
+    card = changed(spark, ["4111 1111 1111 1111"])[0]
+    for k, number in enumerate(numbers):
+        alone, *rest = got[5 * k : 5 * k + 5]
+        assert alone != number and rest == [alone + b for b in (*behind[1:4], f" {card}")]
+
+
+def test_long_runs_of_digits(spark):
+    rows = [" ".join(["4111 1111 1111 1111"] * 300), "7" * 200_000, " ".join(["1234"] * 20_000)]
+    got = changed(spark, rows)
+    assert [len(t) for t in got] == [len(t) for t in rows]
+    assert set(got[0].split(" ")) == set(changed(spark, ["4111 1111 1111 1111"])[0].split(" "))
+
+
 def test_native_plan(spark):
     plan = pii.report(documents(spark, texts(5)), KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -12,6 +12,11 @@ ones get different ones, and without the key nothing leads back.
 What looks alike but does not validate (a long number without a right check digit, a 31 February) stays as it is, and so
 does all other text. The texts are never shuffled and no row depends on another one.
 
+Card numbers are looked for inside whole runs of digit groups, whatever digits stand next to them: every stretch of 13 to 19
+digits between two separators with a right check digit counts if it is the whole run, has the first digits of a card network,
+or is grouped as cards are printed (else most tables of small numbers would have some). Of stretches that overlap those that
+cover the most digits are taken, the usual ones first. An account number ends where its country's do.
+
 Defined cases: a null text stays null, an empty one empty; columns besides ``text`` are returned as they are; rows that
 repeat get the same pseudonyms. Of very short values a few are their own pseudonym, as in any permutation.
 """
@@ -27,21 +32,53 @@ from wakeline.llm.rows import free_name
 
 ROUNDS = 8
 
+#: Characters of an account number by country (ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "AO|CV|GW|LY|MZ|PT|ST", 26: "DZ|IR|IS|TR", 27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE",
+    31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_shape() -> str:
+    """The country's length where that fits, any other one else."""
+    fixed = (
+        rf"(?:{names})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, names in IBAN_LENGTHS.items()
+    )
+    other = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(fixed)}|{other})(?![\p{{L}}\p{{N}}])"
+
+
+#: Values that begin with a digit: a run of digit groups ends before them.
+_OTHERS = (
+    r"[\p{L}\p{N}._%+-]{1,64}@|\d{3}-\d{2}-\d{4}(?![\p{N}-])|\d{4}-\d{2}-\d{2}(?![\p{N}-])"
+    r"|\d{2}(?:\.\d{2}\.|/\d{2}/)\d{4}(?!\p{N})|(?:\d{1,3}\.){3}\d{1,3}(?!\p{N}|\.\p{N})"
+)
 #: The shapes that are looked at, in the order in which they are tried.
 SHAPES = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "secret": r"(?i:token|secret|key|password|passwd)[^\p{L}\p{N}]{0,6}[=:][^\p{L}\p{N}]{0,6}(?:[0-9a-f]{16,64}|[0-9A-F]{16,64})(?![0-9A-Za-z])",
     "phone": r"(?<![\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\p{N})",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "iban": _iban_shape(),
     "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
     "iso_date": r"(?<![\p{N}-])\d{4}-\d{2}-\d{2}(?![\p{N}-])",
     "day_date": r"(?<![\p{N}./])\d{2}([./])\d{2}\1\d{4}(?!\p{N})",
     "ip": r"(?<![\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?!\p{N}|\.\p{N})",
-    "card": r"(?<![\p{N}])\d(?:[ -]?\d){12,18}(?!\p{N})",
+    "card": rf"(?<!\p{{N}})(?=\d(?:[ -]?\d){{12}})\d++(?!\p{{N}})(?:(?:-| (?!{_OTHERS}))\d++(?!\p{{N}}))*+",
 }
 #: Java counts groups over the whole pattern; the date's own group is the only one.
 ANY = "|".join(f"(?:{shape})" for shape in SHAPES.values())
 
+#: Lengths of card numbers, and the usual ones: networks by their first digits, groups as they are printed.
+CARD_DIGITS = (13, 19)
+USUAL_CARD = (
+    r"^(?:4\d{12}(?:\d{3})?(?:\d{3})?|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3[0689]\d{12,17}|35\d{14,17}|6\d{15,18}|5[06-9]\d{14,17})$"
+)
+USUAL_GROUPS = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1(?:\d{4}(?:\1\d{1,3})?|\d{1,7})|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{7,13})$"
+
 #: 400 Gregorian years are 146097 = 27 * 5411 days; the calendar repeats after them.
 CALENDAR_START, CALENDAR = "1800-01-01", (27, 5411)
 
@@ -185,6 +222,72 @@ def card(key: Column, hit: Column) -> Column:
     return let(digits_of(hit), lambda d: F.when(luhn_sum(d) % 10 == 0, refilled(hit, changed(d))))
 
 
+def best_cards(groups: Column) -> Column:
+    """The card numbers among digit groups with their separators behind them: ``at, n, text`` from left to right.
+
+    From the last group to the first, the best choice from each group on is kept for the ``CARD_DIGITS[1]`` groups behind it.
+    """
+    choice = "struct<score:bigint,cards:array<struct<at:int,n:int,text:string>>>"
+    least, most = CARD_DIGITS
+
+    def numbers(i: Column) -> Column:
+        here = F.slice(groups, i, F.least(F.lit(most), F.size(groups) - i + 1))
+        fits = F.filter(
+            F.transform(here, lambda _, k: F.struct(
+                i.alias("at"), (k + 1).alias("n"),
+                F.regexp_replace(F.array_join(F.slice(here, F.lit(1), k + 1), ""), "[ -]$", "").alias("text"),
+            )),
+            lambda c: F.length(digits_of(c["text"])).between(least, most),
+        )
+        meant = F.filter(fits, lambda c: (c["n"] == F.size(groups)) | (usual(c) > 0))
+        return F.filter(meant, lambda c: luhn_sum(digits_of(c["text"])) % 10 == 0)
+
+    def usual(c: Column) -> Column:
+        return digits_of(c["text"]).rlike(USUAL_CARD).cast("long") + c["text"].rlike(USUAL_GROUPS).cast("long")
+
+    def score(c: Column) -> Column:
+        return F.length(digits_of(c["text"])).cast("long") + usual(c) * most
+
+    def step(state: Column, i: Column) -> Column:
+        options = F.transform(numbers(i), lambda c: F.struct(
+            (score(c) + F.coalesce(F.get(state, c["n"] - 1)["score"], F.lit(0))).alias("score"), c.alias("card"),
+        ))
+
+        def chosen(best: Column) -> Column:
+            behind = F.coalesce(F.get(state, best["card"]["n"] - 1)["cards"], F.array().cast("array<struct<at:int,n:int,text:string>>"))
+            new = F.struct(best["score"].alias("score"), F.concat(F.array(best["card"]), behind).alias("cards")).cast(choice)
+            return F.when(best["score"] > state[0]["score"], new).otherwise(state[0])
+
+        best = let(F.array_max(options), lambda b: F.when(b.isNull(), state[0]).otherwise(chosen(b)))
+        return F.slice(F.concat(F.array(best), state), 1, most)
+
+    start = F.array(F.struct(F.lit(0).alias("score"), F.array().alias("cards")).cast(choice))
+    places = F.sequence(F.size(groups), F.lit(1), F.lit(-1))
+    return F.aggregate(places, start, step, lambda s: s[0]["cards"])
+
+
+def cards(key: Column, hit: Column) -> Column:
+    """The card numbers in a run of digit groups: ``kinds``, one for each number, and ``new``, the whole run."""
+
+    def rebuilt(groups: Column) -> Column:
+        def joined(first: Column, end: Column) -> Column:
+            return F.array_join(F.slice(groups, first, end - first), "")
+
+        def written(found: Column) -> Column:
+            parts = F.transform(found, lambda c, j: F.concat(
+                joined(F.coalesce(F.get(found, j - 1)["at"] + F.get(found, j - 1)["n"], F.lit(1)), c["at"]),
+                card(key, c["text"]),
+                F.regexp_extract(F.element_at(groups, c["at"] + c["n"] - 1), "[ -]?$", 0),
+            ))
+            last = F.element_at(found, -1)
+            new = F.concat(F.array_join(parts, ""), joined(last["at"] + last["n"], F.size(groups) + 1))
+            return F.when(F.size(found) > 0, F.struct(F.transform(found, lambda _: F.lit("card")).alias("kinds"), new.alias("new")))
+
+        return let(best_cards(groups), written)
+
+    return let(F.regexp_extract_all(hit, F.lit(r"\d+[ -]?"), F.lit(0)), rebuilt)
+
+
 def phone(key: Column, hit: Column) -> Column:
     """The country code stays; a North American number stays one (no area or exchange below 200)."""
 
@@ -317,19 +420,19 @@ _KINDS = {
     "iso_date": (lambda h: h.rlike(r"^\d{4}-\d{2}-\d{2}$"), iso_date),
     "day_date": (lambda h: h.rlike(r"^\d{2}[./]\d{2}[./]\d{4}$"), day_date),
     "ip": (lambda h: h.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), ip),
-    "card": (lambda h: h.rlike(r"^\d([ -]?\d){12,18}$"), card),
     "iban": (lambda h: h.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]*$"), iban),
 }
 
 
 def replaced(key: Column, hit: Column) -> Column:
-    """A struct of the kind of ``hit`` and its pseudonym; null if it is not a valid value."""
+    """A struct of the kinds of the values in ``hit`` and its pseudonym, which is null if it is not a valid value."""
     names = {"iso_date": "date", "day_date": "date"}
     out = None
     for kind, (test, function) in _KINDS.items():
-        value = F.struct(F.lit(names.get(kind, kind)).alias("kind"), function(key, hit).alias("new"))
+        value = F.struct(F.array(F.lit(names.get(kind, kind))).alias("kinds"), function(key, hit).alias("new"))
         out = F.when(test(hit), value) if out is None else out.when(test(hit), value)
-    return out
+    # no other shape has thirteen digits parted by nothing else
+    return out.when(hit.rlike(r"^\d"), cards(key, hit))
 
 
 def pseudonymised(documents: DataFrame, key: str, text_col: str = "text", found: str | None = None) -> DataFrame:
@@ -348,7 +451,7 @@ def pseudonymised(documents: DataFrame, key: str, text_col: str = "text", found:
         ),
         "",
     )
-    kinds = F.transform(F.filter(news, lambda x: x["new"].isNotNull()), lambda x: x["kind"])
+    kinds = F.flatten(F.transform(F.filter(news, lambda x: x["new"].isNotNull()), lambda x: x["kinds"]))
     out = changed.withColumn(text_col, F.when(F.size(hits) > 0, rebuilt).otherwise(text))
     if found is not None:
         out = out.withColumn(found, F.coalesce(F.array_sort(kinds), F.array().cast("array<string>")))
