@@ -122,3 +122,21 @@ def test_hard_rows_have_a_language(spark):
 def test_without_labels_all_is_unknown(spark):
     docs = spark.createDataFrame([(1, "the house", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in language_id.report(docs).collect()] == ["und"]
+
+
+def test_scripts_without_spaces_long_documents_and_rare_labels_are_learned(spark):
+    rng = np.random.default_rng(3)
+    alphabets = {"zh": "的一是不了人我在有他这中大来上", "ja": "のにはをたがでてとしれさあいう", "th": "กขคงจชซดตถทนบปผ"}
+    run = lambda lang: "".join(rng.choice(list(alphabets[lang]), 60))
+    rows = [(k * 40 + i, run(lang), lang) for k, lang in enumerate(alphabets) for i in range(40)]
+    rows += [(1000 + i, "el perro come la casa grande donde vive " * 500, "es") for i in range(12)]
+    rows += [(2000 + i, "the dog eats in the big house where it lives", "en") for i in range(12)]
+    rows += [(3000 + i, f"word{i % 110}", f"x{i % 110:03}") for i in range(1100)]
+    docs = spark.createDataFrame([*rows, (5000, None, "no")], "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    assert model.languages == sorted({lang for _, _, lang in rows})
+    asked = spark.createDataFrame(
+        [(lang, run(lang)) for lang in alphabets for _ in range(20)] + [("es", "la casa donde vive el perro")], "doc_id string, text string"
+    )
+    got = language_id.predict(asked, model).select("doc_id", "language.lang_pred").collect()
+    assert len(got) == 61 and all(r["doc_id"] == r["lang_pred"] for r in got)

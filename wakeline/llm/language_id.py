@@ -5,13 +5,13 @@ the probability of a word is the sum, over all ways to cut it into pieces, of th
 forward pass over the word's bytes sums them without listing them. The score of a text is the posterior of the best
 language over the product of its words, all languages being equally likely beforehand.
 
-Learning: of each language at most ``SAMPLE`` labelled documents of at most ``LONGEST`` bytes, chosen by a hash of their
-id, whole; the ``LANGUAGES`` most frequent labels at most. Their word counts are summed by Spark, and a few
-rounds of expectation-maximisation fit the piece probabilities to them. The model is a table of pieces by languages,
-whatever the corpus. Everything else covers all texts, whole.
+Learning: every label that occurs outside the held-out fold; of each at most ``SAMPLE`` documents with a text, chosen by a
+hash of their id whatever their length, and of a longer document the first ``LONGEST`` characters. The counts of their
+words are summed by Spark, and a few rounds of expectation-maximisation fit the piece probabilities to them. The model is a
+table of pieces by languages, whatever the corpus. Everything else covers all texts, whole.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0; words of more than ``WORD`` bytes are
-scored in stretches of that length; a row without an id is not learned from and counts as held out; a tie goes to the
+Defined cases: a null text, or one without a letter, is ``und`` with score 0; words of more than ``WORD`` bytes, such as
+the runs of a script without spaces, are learned and scored in stretches of that length; a row without an id is not learned from and counts as held out; a tie goes to the
 language that sorts first; without any labelled document every text is ``und``.
 """
 
@@ -32,7 +32,7 @@ from wakeline.llm.text import SPACED, Slice, column, slices
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FOLDS = 5
-SAMPLE, LONGEST, LANGUAGES = 300, 16_384, 100
+SAMPLE, LONGEST = 300, 16_384
 WORD, PIECE = 32, 16
 ROUNDS = 3
 UNKNOWN = "und"
@@ -155,8 +155,8 @@ class Model:
     chance: np.ndarray  # [piece, language]
 
 
-def fit(counted: list[tuple[str, str, int]], pieces: list[bytes], rounds: int = ROUNDS) -> Model:
-    """From ``(language, word, count)``. Every piece keeps the weight of a tenth of an occurrence."""
+def fit(counted: list[tuple[str, bytes, int]], pieces: list[bytes], rounds: int = ROUNDS) -> Model:
+    """From ``(language, stretch, count)``, a word's first stretch with a space in front. Every piece keeps the weight of a tenth of an occurrence."""
     languages = sorted({lang for lang, _, _ in counted})
     words = sorted({word for _, word, _ in counted})
     chance = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
@@ -177,7 +177,7 @@ def fit(counted: list[tuple[str, str, int]], pieces: list[bytes], rounds: int =
             for k, word in enumerate(some):
                 for x, n in counts_of[word]:
                     weight[k, x] = n
-            lattice = Lattice(as_slice([b" " + w.encode() for w in some]), table)
+            lattice = Lattice(as_slice(some), table)
             counts += lattice.expected(chance, weight[lattice.owner])
         chance = counts / counts.sum(axis=0)
     return Model(languages, pieces, chance)
@@ -246,19 +246,20 @@ def remainder(df: DataFrame) -> Column:
 def learn(labelled: DataFrame, path: str = VOCABULARY) -> Model:
     """A model of the languages of ``labelled(doc_id, text, lang)``, from the documents outside the held-out fold."""
     rows = labelled.filter((remainder(labelled) != 0) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    short = rows.filter(F.octet_length("text") <= LONGEST)
-    counts = short.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    full = rows.filter(F.octet_length("text") > 0)
+    counts = full.groupBy("lang").agg(F.count("*").alias("of"))
     # about twice the sample by a share of the hashes, so that few rows meet where it is cut to size
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    near = F.lit(False)
-    for r in counts:
-        near = near | ((F.col("lang") == r["lang"]) & (part < min(1 << 30, ((2 * SAMPLE) << 30) // r["count"])))
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit((2 * SAMPLE) << 30) / F.col("of")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    sample = short.filter(near).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
-    # a word's first bytes are one stretch, as in scoring; the rest of a longer word is rare enough to leave out
-    word = F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")
-    counted = sample.select("lang", word).filter(f"word <> '' and octet_length(word) < {WORD}").groupBy("lang", "word").count()
-    return fit([(r["lang"], r["word"], r["count"]) for r in counted.collect()], pieces_of(path))
+    sample = full.join(F.broadcast(counts), "lang").filter(near).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
+    word = F.explode(F.split(F.left("text", F.lit(LONGEST)), r"[\x20\x09-\x0D]+")).alias("word")
+    words = sample.select("lang", word).filter("word <> ''").groupBy("lang", "word").count()
+    # the same stretches as in scoring
+    spelled_word = F.encode(F.concat(F.lit(" "), "word"), "UTF-8")
+    places = F.sequence(F.lit(0), F.floor(F.octet_length("word") / WORD).cast("int"))
+    stretch = F.explode(F.transform(places, lambda k: F.substring(spelled_word, k * WORD + 1, F.lit(WORD)))).alias("stretch")
+    counted = words.select("lang", stretch, "count").groupBy("lang", "stretch").agg(F.sum("count").alias("n"))
+    return fit([(r["lang"], bytes(r["stretch"]), r["n"]) for r in counted.collect()], pieces_of(path))
 
 
 def predict(documents: DataFrame, model: Model, result: str = "language", keep: list[str] | None = None) -> DataFrame:
