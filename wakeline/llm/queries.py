@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import (
-    language_id, length_buckets, license_digest, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
+    language_id, length_buckets, license_digest, merkle, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
     weak_supervision, winnowing,
 )
 from wakeline.llm.sql import ORACLES
@@ -77,4 +77,9 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -120,3 +120,71 @@ units AS (
 SELECT doc_id, line, canonical_sha256, license FROM units LEFT JOIN known ON d = canonical_sha256
 WHERE line = 0 OR license IS NOT NULL
 """
+
+
+def merkle_levels(first: str, grp: str, levels: int) -> str:
+    """Tables ``{first}1`` to ``{first}{levels}`` of nodes above ``{first}0(grp, pos, h)``, and each level's runs of siblings."""
+    out = []
+    for k in range(levels):
+        out.append(
+            f"{first}s{k} AS (SELECT *, count(*) OVER (PARTITION BY {grp}) AS m FROM {first}{k}),"
+            f"{first}{k + 1} AS (SELECT {grp}, pos // 8 AS pos, CASE WHEN m > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE min(h) END AS h "
+            f"FROM {first}s{k} GROUP BY {grp}, pos // 8, m)"
+        )
+    return ",".join(out)
+
+
+def merkle_path(first: str, grp: str, start: str, pos: str, levels: int, out: str) -> str:
+    """Table ``{out}``: ``start`` rows with the siblings of each level in the list ``path``."""
+    sides = ",".join(
+        f"{{'l': coalesce(a{k}.l, ''), 'r': coalesce(a{k}.r, ''), 'f': a{k}.m > 1}}" for k in range(levels)
+    )
+    joins = " ".join(
+        f"JOIN (SELECT {grp} AS g, pos, m, string_agg(h, '') OVER (PARTITION BY {grp}, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, "
+        f"string_agg(h, '') OVER (PARTITION BY {grp}, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM {first}s{k}) a{k} "
+        f"ON a{k}.g = s.{grp} AND a{k}.pos = s.{pos} // {8 ** k}"
+        for k in range(levels)
+    )
+    return f"{out} AS (SELECT s.*, [{sides}] AS path FROM {start} s {joins})"
+
+
+def framed(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: One byte of CRC-32: eight times shift and reduce.
+_CRC_BYTE = "list_reduce([xor(c, CAST(ascii(substr(digits, k, 1)) AS BIGINT)), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+#: Unrolled for up to 8 ** 7 rows a language.
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, text,
+         sha256({" || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         sha256({" || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars"))} || {framed(_LOWERED)}) AS changed,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos
+  FROM documents),
+crc(doc_id, digits, k, c) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT) FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, digits, k + 1, {_CRC_BYTE} FROM crc WHERE k <= strlen(digits)),
+hit AS (SELECT doc_id FROM crc WHERE k = strlen(digits) + 1 AND xor(c, 4294967295) % 3 = 0),
+n0 AS (SELECT grp, pos, leaf AS h FROM leaves),
+{merkle_levels("n", "grp", 7)},
+tops AS (SELECT grp, h AS subroot, 1 AS one, row_number() OVER (ORDER BY grp) - 1 AS spot FROM n7),
+t0 AS (SELECT one, spot AS pos, subroot AS h FROM tops),
+{merkle_levels("t", "one", 3)},
+{merkle_path("n", "grp", "leaves", "pos", 7, "low")},
+{merkle_path("t", "one", "tops", "spot", 3, "high")},
+proofs AS (
+  SELECT l.doc_id, leaf, subroot, t3.h AS root, list_concat(l.path, h.path) AS path,
+         CASE WHEN hit.doc_id IS NULL THEN leaf ELSE changed END AS start
+  FROM low l JOIN high h USING (grp) CROSS JOIN t3 LEFT JOIN hit ON hit.doc_id = l.doc_id),
+{",".join(
+    f"f{k + 1} AS (SELECT * EXCLUDE (start), CASE WHEN path[{k + 1}].f THEN sha256(path[{k + 1}].l || start || path[{k + 1}].r) ELSE start END AS start "
+    f"FROM {'proofs' if k == 0 else f'f{k}'})" for k in range(10)
+)}
+SELECT doc_id, leaf, subroot, root,
+       sha256({" || ".join(f"path[{k}].l || path[{k}].r" for k in range(1, 11))}) AS proof_sha256,
+       start AS folded_root, start = root AS verified
+FROM f10
+"""
