@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import (
-    language_id, length_buckets, license_digest, merkle, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
+    cap_filters, language_id, length_buckets, license_digest, merkle, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
     weak_supervision, winnowing,
 )
 from wakeline.llm.sql import ORACLES
@@ -82,4 +82,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -188,3 +188,18 @@ SELECT doc_id, leaf, subroot, root,
        start AS folded_root, start = root AS verified
 FROM f10
 """
+
+ORACLES["op13_cap_filters"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM links UNION SELECT node, b FROM reach JOIN links ON seen = a),
+lowest AS (SELECT node, min(seen) AS low FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(low, vec_id) AS component_id, vec_id = coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN lowest ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
