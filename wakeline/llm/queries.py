@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import (
-    cap_filters, language_id, length_buckets, license_digest, merkle, near_dedup, pii, separator_scan, suffix_intervals, suffix_trees,
-    weak_supervision, winnowing,
+    cap_filters, collocations, language_id, length_buckets, license_digest, merkle, near_dedup, pii, separator_scan,
+    suffix_intervals, suffix_trees, weak_supervision, winnowing,
 )
 from wakeline.llm.sql import ORACLES
 
@@ -77,6 +77,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))

@@ -203,3 +203,33 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(low, vec_id) AS component_id, vec_id = coalesce(low, vec_id) AS kept
 FROM embeddings LEFT JOIN lowest ON node = vec_id LEFT JOIN counts ON a = vec_id
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM words, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size),
+known AS (
+  SELECT lang, size, array_to_string(w[p : p + size - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 100),
+whole AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM known WHERE size > 1),
+cuts AS (SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM whole),
+scores AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, n,
+         CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN known l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+  JOIN known r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1 : c.size], ' ')),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS first FROM scores),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(w[p : p + part - 1], ' ') AS phrase, a
+  FROM (SELECT lang, w, a, part, unnest(range(1, size - part + 2)) AS p FROM whole, (SELECT unnest(range(2, 5)) AS part) WHERE part < size)),
+longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+kept AS (
+  SELECT lang, phrase, a, l, r, n, score FROM least LEFT JOIN longer USING (lang, phrase)
+  WHERE first = 1 AND (most IS NULL OR 100 * most < 100 * a))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
