@@ -7,19 +7,18 @@ count with what its two parts would give by chance, at the cut where that is lea
 A phrase cannot occur more often than any phrase in it, so candidates are narrowed from few words to many:
 
 1. Words are counted: per task first, then per language.
-2. Pairs of two frequent words are summed by a 64-bit key, then phrases of three and more words whose pairs are all
-   frequent. Phrases that share a key are summed together, so a sum is never less than a phrase's count, and what
-   stays below ``LEAST`` cannot be a candidate.
-3. The texts of the phrases that are left are the candidates, in shards of up to ``SHARD_PHRASES``. Each shard becomes a
+2. Pairs of two frequent words are summed, then phrases of three and more words whose pairs are all frequent. What stays
+   below ``LEAST`` cannot be a candidate.
+3. The phrases that are left are the candidates, in shards of up to ``SHARD_PHRASES``. Each shard becomes a
    double-array trie, built in a task and broadcast. A pass over the corpus moves the states of all positions at
-   once, level by level, and counts accepting states by ``bincount``; the counts of all tasks are summed.
+   once, level by level, and counts accepting states by ``bincount``; the arrays of all tasks are summed in two steps.
 
 Frequent words and pairs reach the tasks as a bitmap of hashes of up to ``2 ** MOST_BITS`` bits. Where it fills up, it only
-lets more phrases through to step 3, so results do not depend on its size. A corpus with more candidates than a
+lets more phrases through to the sums, so results do not depend on its size. A corpus with more candidates than a
 shard holds takes one pass a shard.
 
-Words are told apart by a 64-bit hash with their language: two different words of one slice of 4 MB would be counted
-as one with a probability of about 1e-9, and a word outside a trie taken for one in it with 3e-14 a word.
+Words are named by a 64-bit hash with their language. Among a million frequent words two share a name with a probability of
+3e-8; a rare word is taken for one of them with 5e-14.
 
 Defined cases: null and empty texts have no words, and a table without words no rows. A null language is
 ``und``, together with documents that say so. Rows that repeat an id, or lack one, count like all others. Texts are
@@ -38,16 +37,20 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.double_array import DoubleArray
 from wakeline.llm.rows import parts_of, small_batches
-from wakeline.llm.text import SPACED, Slice, column, gram_hash, mix, slices
+from wakeline.llm.text import SPACED, Slice, column, gram_hash, mix, pack, slices, unpack
 from wakeline.session import materialise
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-SHARD_PHRASES = 250_000
+SHARD_PHRASES = 500_000
 MOST_BITS = 28
+STRETCH = 1 << 14
+SUMS = 64
 PART_BYTES = 4 << 20
 
+KEYS = tuple(f"k{k}" for k in range(1, LONGEST + 1))
+
 #: Bytes that end a piece, and those that belong to words: all but these, space and tab.
 ENDS = np.zeros(256, bool)
 ENDS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -103,6 +106,13 @@ def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = np.stack([column(batch, k).to_numpy() for k in KEYS[:2]], axis=1).reshape(-1).view(np.uint64)
+        keys = gram_hash(words, np.arange(0, len(words), 2), 2)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+
+
 class Bitmap:
     """A set of keys by their first bits: has all of them, and some others if it is full."""
 
@@ -116,7 +126,7 @@ class Bitmap:
     @classmethod
     def of(cls, keys: DataFrame, n: int) -> Bitmap:
         """Of the column ``key`` with ``n`` rows; tasks build stretches of 128 kB, and only the bitmap is collected."""
-        bits = min(MOST_BITS, max(20, (64 * n).bit_length()))
+        bits = min(MOST_BITS, max(20, (256 * n).bit_length()))
         slots = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("slot")).select(F.shiftright("slot", 20).alias("stretch"), "slot").distinct()
 
         def stretch(table: pa.Table) -> pa.Table:
@@ -132,7 +142,7 @@ class Bitmap:
 
 
 def summed(sizes: tuple[int, ...], within: Bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``size, key, n`` of the phrases of these sizes: of two words that are ``within``, or whose pairs all are."""
+    """The keys of the words, and ``n``, of phrases of these sizes: of two words that are ``within``, or whose pairs all are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in spoken(batches):
@@ -144,79 +154,74 @@ def summed(sizes: tuple[int, ...], within: Bitmap) -> Callable[[Iterator[pa.Reco
                 at = s.windows(size, np.flatnonzero(good[:-1]))
                 for k in range(1, size - step + 1):
                     at = at[good[at + k]]
-                keys, n = np.unique(s.gram_keys(at, size), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), size, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["size", "key", "n"]
-                )
+                _, first, n = np.unique(s.gram_keys(at, size), return_index=True, return_counts=True)
+                keys = [pa.array(s.keys[at[first] + k].view(np.int64)) for k in range(size)]
+                keys += [pa.nulls(len(first), pa.int64())] * (sizes[-1] - size)
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(n)], [*KEYS[: sizes[-1]], "n"])
 
     return run
 
 
-def found_phrases(within: dict[int, Bitmap]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``lang, phrase, size, keys`` of the phrases that are ``within``, once a slice."""
+def trie_of(table: pa.Table) -> pa.Table:
+    """One shard's candidates, numbered by ``place``, as a double-array trie."""
+    table = table.sort_by("place")
+    lists = [column(table, k) for k in KEYS]
+    lengths = sum(x.is_valid().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists)
+    keys = np.stack([x.fill_null(0).to_numpy().view(np.uint64) for x in lists], axis=1)
+    shard = column(table, "shard").slice(0, 1)
+    return pa.table({"shard": shard, "trie": pa.array([DoubleArray.build(keys, lengths).to_bytes()], pa.binary())})
+
+
+def counted_by(blob: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``stretch, counts``: how often each sequence of a trie occurs in all batches of a task, in stretches of ``STRETCH``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, total = DoubleArray.from_bytes(blob), np.zeros(0, np.int64)
         for s in spoken(batches):
-            alive = None
-            for size in sorted(within):
-                at = s.windows(size, alive)
-                keys = s.gram_keys(at, size)
-                good = within[size].has(keys)
-                alive, keys = at[good], keys[good]
-                _, first = np.unique(keys, return_index=True)
-                at = alive[first]
-                flat = pa.array(s.keys[at[:, None] + np.arange(size)].reshape(-1).view(np.int64))
-                offsets = pa.array(np.arange(0, len(flat) + 1, size, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [s.lang_of(at), s.phrases(at, size), pa.array(np.full(len(at), size, np.int32)), pa.ListArray.from_arrays(offsets, flat)],
-                    ["lang", "phrase", "size", "keys"],
-                )
+            n = trie.counts(trie.symbols(s.keys), s.piece, LONGEST)
+            total = total + n if len(total) else n
+        parts = [total[lo : lo + STRETCH] for lo in range(0, len(total), STRETCH)]
+        rows = [(k, pack(x)) for k, x in enumerate(parts) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["stretch", "counts"])
 
     return run
 
 
-def trie_of(table: pa.Table) -> pa.Table:
-    """One shard's candidates, numbered by ``place``, as a double-array trie."""
-    order = np.argsort(column(table, "place").to_numpy())
-    lists = column(table, "keys").take(pa.array(order))
-    lengths = np.diff(lists.offsets.to_numpy())
-    keys = np.zeros((len(lists), LONGEST), np.uint64)
-    keys[np.arange(LONGEST) < lengths[:, None]] = lists.flatten().to_numpy().view(np.uint64)
-    shard = column(table, "shard").to_numpy()[:1]
-    return pa.table({"shard": pa.array(shard), "trie": pa.array([DoubleArray.build(keys, lengths).to_bytes()], pa.binary())})
+def added(table: pa.Table) -> pa.Table:
+    """One stretch of the sums of several tasks."""
+    total = sum(unpack(x)[0] for x in column(table, "counts").to_pylist())
+    return pa.table({"stretch": column(table, "stretch").slice(0, 1), "counts": pa.array([pack(total)], pa.binary())})
 
 
-def counted_by(blob: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``place, n`` of the sequences of a trie in all batches of a task."""
+def unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k, blob in zip(column(batch, "stretch").to_pylist(), column(batch, "counts").to_pylist(), strict=True):
+            n = unpack(blob)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(k * STRETCH + np.arange(len(n))), pa.array(n)], ["place", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, total = DoubleArray.from_bytes(blob), 0
-        for s in spoken(batches):
-            total = total + trie.counts(trie.symbols(s.keys), s.piece, LONGEST)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.asarray(total).reshape(-1)[some].astype(np.int64))], ["place", "n"])
 
-    return run
+def trie_counts(texts: DataFrame, blob: bytes) -> DataFrame:
+    """``place, n``: the arrays of all tasks summed, first those of every ``SUMS``-th task, then the sums."""
+    rows = texts.mapInArrow(counted_by(blob), "stretch int, counts binary").withColumn("some", F.pmod(F.spark_partition_id(), F.lit(SUMS)))
+    rows = rows.groupBy("stretch", "some").applyInArrow(added, "stretch int, counts binary")
+    return rows.groupBy("stretch").applyInArrow(added, "stretch int, counts binary").mapInArrow(unfolded, "place long, n long")
 
 
 def candidates(texts: DataFrame, words: DataFrame, least: int) -> DataFrame:
-    """``shard, place, lang, phrase, size, keys``: every phrase of two words and more that may occur ``least`` times."""
+    """``shard, place`` and the words' keys of every phrase of two words and more that may occur ``least`` times."""
 
     def frequent(sizes: tuple[int, ...], within: Bitmap) -> DataFrame:
-        rows = texts.mapInArrow(summed(sizes, within), "size int, key long, n long")
-        return materialise(rows.groupBy("size", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-keys")
+        keys = KEYS[: sizes[-1]]
+        rows = texts.mapInArrow(summed(sizes, within), ", ".join(f"{k} long" for k in (*keys, "n")))
+        return materialise(rows.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n"), "phrase-keys")
 
     pairs = frequent((2,), Bitmap.of(words, words.count()))
-    within = {2: Bitmap.of(pairs, pairs.count())}
-    longer = frequent(tuple(range(3, LONGEST + 1)), within[2])
-    sizes = {r["size"]: r["n"] for r in longer.groupBy("size").agg(F.count("*").alias("n")).collect()}
-    within |= {size: Bitmap.of(longer.filter(F.col("size") == size), n) for size, n in sizes.items()}
-    rows = texts.mapInArrow(found_phrases(within), "lang string, phrase string, size int, keys array<long>")
-    rows = materialise(rows.groupBy("lang", "phrase", "size").agg(F.first("keys").alias("keys")), "phrases")
-    shards = parts_of(rows.count(), SHARD_PHRASES)
-    shard = F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int").alias("shard")
-    place = F.row_number().over(Window.partitionBy("shard").orderBy("lang", "phrase")) - 1
-    return materialise(rows.select(shard, "*").withColumn("place", place.cast("long")), "candidates")
+    named = pairs.mapInArrow(pair_keys, "key long")
+    longer = frequent(tuple(range(3, LONGEST + 1)), Bitmap.of(named, pairs.count()))
+    rows = pairs.unionByName(longer, allowMissingColumns=True)
+    shard = F.pmod(F.xxhash64(*KEYS), F.lit(parts_of(rows.count(), SHARD_PHRASES))).cast("int").alias("shard")
+    place = F.row_number().over(Window.partitionBy("shard").orderBy(*KEYS)) - 1
+    return materialise(rows.select(shard, *KEYS).withColumn("place", place.cast("long")), "candidates")
 
 
 def counted(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -228,15 +233,21 @@ def counted(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     some = candidates(texts, words, least)
     tries = materialise(some.groupBy("shard").applyInArrow(trie_of, "shard int, trie binary"), "tries")
     shards = some.agg(F.max("shard")).first()[0]
-    out = words.select("lang", "phrase", F.lit(1).alias("size"), "n")
+    counts = some.select("shard", "place", F.lit(0).cast("long").alias("n")).limit(0)
     for shard in range(0 if shards is None else shards + 1):
         blob = tries.filter(F.col("shard") == shard).first()
         if blob is None:
             continue
-        mine = texts.mapInArrow(counted_by(blob["trie"]), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-        mine = some.filter(F.col("shard") == shard).join(mine.filter(F.col("n") >= least), "place").select("lang", "phrase", "size", "n")
-        out = out.unionByName(materialise(mine, "phrase-counts"))
-    return out, totals
+        mine = trie_counts(texts, blob["trie"]).filter(F.col("n") >= least).select(F.lit(shard).alias("shard"), "place", "n")
+        counts = counts.unionByName(materialise(mine, "phrase-counts"))
+    # keys become words again
+    known = some.join(counts, ["shard", "place"]).select("shard", "place", "n", F.posexplode(F.array(*KEYS)).alias("at", "key")).filter("key is not null")
+    known = known.join(words.select("key", "lang", F.col("phrase").alias("word")), "key").groupBy("shard", "place").agg(
+        F.first("lang").alias("lang"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w")
+    )
+    known = known.select("lang", F.array_join("w.word", " ").alias("phrase"), F.size("w").alias("size"), "n")
+    known = known.unionByName(words.select("lang", "phrase", F.lit(1).alias("size"), "n"))
+    return materialise(known, "known-phrases"), totals
 
 
 def collocations(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:

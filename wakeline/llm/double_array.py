@@ -34,12 +34,11 @@ class DoubleArray:
             rows = np.flatnonzero(lengths > level)
             if not len(rows):
                 break
-            pair = np.stack((node[rows], symbols[rows, level]))
-            fresh, which = np.unique(pair, axis=1, return_inverse=True)
-            parents.append(fresh[0])
-            names.append(fresh[1])
-            node[rows] = len(ends) + which.reshape(-1)
-            ends = np.concatenate((ends, np.full(fresh.shape[1], -1)))
+            fresh, which = np.unique(node[rows] * len(keys) + symbols[rows, level], return_inverse=True)
+            parents.append(fresh // len(keys))
+            names.append(fresh % len(keys))
+            node[rows] = len(ends) + which
+            ends = np.concatenate((ends, np.full(len(fresh), -1)))
         ends[node[lengths > 0]] = np.flatnonzero(lengths > 0)
         parent, name = np.concatenate(parents), np.concatenate(names)
         spot, offset = cls._placed(parent[1:], name[1:], len(keys), len(ends))
@@ -58,7 +57,8 @@ class DoubleArray:
         used = np.zeros(max(1, 2 * (symbols + nodes)) + _WINDOW, bool)
         spot, offset = np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
         start = 0
-        for k in np.lexsort((owners, -count, owners > 0)).tolist():
+        several = np.flatnonzero((count > 1) | (owners == 0))
+        for k in several[np.lexsort((-count[several], owners[several] > 0))].tolist():
             children = order[first[k] : first[k] + count[k]]
             steps = name[children] - name[children[0]]
             at = 0 if owners[k] == 0 else start
@@ -66,7 +66,7 @@ class DoubleArray:
                 if at + _WINDOW + symbols >= len(used):
                     used = np.concatenate((used, np.zeros(len(used), bool)))
                 free = at + np.flatnonzero(~used[at : at + _WINDOW])
-                fits = free[~used[free[:, None] + steps].any(axis=1)] if len(steps) > 1 else free
+                fits = free[~used[free[:, None] + steps].any(axis=1)]
                 if len(fits):
                     at = int(fits[0])
                     break
@@ -77,6 +77,13 @@ class DoubleArray:
             used[base + name[children]] = True
             while used[start]:
                 start += int(np.argmin(used[start : start + _WINDOW])) or _WINDOW
+        # an only child fits anywhere
+        alone = np.flatnonzero((count == 1) & (owners > 0))
+        free = np.flatnonzero(~used)
+        free = np.concatenate((free, np.arange(len(used), len(used) + max(0, len(alone) - len(free)))))[: len(alone)]
+        children = order[first[alone]]
+        spot[children + 1] = free
+        offset[owners[alone]] = free - name[children]
         return spot, offset
 
     def symbols(self, keys: np.ndarray) -> np.ndarray:
