@@ -9,7 +9,7 @@ from wakeline import config as C
 from wakeline.functions import labels
 from wakeline.functions.aggregates import steady_avg
 from wakeline.operators import merge
-from wakeline.sources.files import newer_than
+from wakeline.sources.files import since
 
 CONTROL_COLUMNS = "table_name STRING, last_loaded TIMESTAMP_NTZ, rows_loaded BIGINT, updated_at TIMESTAMP_NTZ"
 
@@ -36,7 +36,7 @@ def incremental_load(
     with one key the newest counts. Rows are merged on their key and only those that differ from the stored ones
     count as loaded: loading the same source twice changes nothing.
     """
-    fresh = newer_than(source, time, control, table)
+    fresh = since(source, time, control, table)
     if zone:
         fresh = in_coastal_zones(fresh, *zone)
     fresh = merge.last_per_key(fresh.select(*stored.columns), keys, (time,)).subtract(stored)

@@ -181,12 +181,19 @@ def capped_sample(
     )
 
 
+def _mark(control: DataFrame, table: str) -> Column:
+    return control.filter(F.col("table_name") == table).agg(F.max("last_loaded")).scalar()
+
+
 def newer_than(df: DataFrame, column: str, control: DataFrame, table: str) -> DataFrame:
-    """Rows with ``column`` at or above the stored watermark of ``table``; all rows when there is none.
+    """Rows with ``column`` above the stored watermark of ``table``; all rows when there is none."""
+    mark = _mark(control, table)
+    return df.filter(mark.isNull() | (F.col(column).cast("timestamp_ntz") > mark))
 
-    The newest period is read again, as it may have grown since it was loaded.
-    """
-    mark = control.filter(F.col("table_name") == table).agg(F.max("last_loaded")).scalar()
+
+def since(df: DataFrame, column: str, control: DataFrame, table: str) -> DataFrame:
+    """Like ``newer_than`` with the period of the watermark itself, which may have grown since it was loaded."""
+    mark = _mark(control, table)
     return df.filter(mark.isNull() | (F.col(column).cast("timestamp_ntz") >= mark))
 
 
