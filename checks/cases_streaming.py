@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from checks import sql
+from checks.cases_models import forest, position_model
 from checks.cases_windows import KEYS
 from checks.registry import case
 from checks.sql import dec
+from wakeline.models import isolation_forest, live, runs, supervised
 from wakeline.operators import tracks
+from wakeline.plans import alerts
 from wakeline.plans import bronze as bronze_plan
 from wakeline.session import scratch_dir
 from wakeline.sinks import tables
@@ -170,7 +173,7 @@ def _(t):
 SELECT mmsi, base_datetime, lat, lon, sog, cog, risk_level, 'live' AS data_split FROM (
   SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY base_datetime DESC) AS rn FROM bronze_once) WHERE rn = 1"""))
 def _(t):
-    table = state.SlotTable(t.spark, f"{_scoring_run(t)}/latest", scoring.LATEST_COLUMNS).read()
+    table = state.BucketTable(t.spark, f"{_scoring_run(t)}/latest", scoring.LATEST_COLUMNS, "mmsi").read()
     return table.select("mmsi", "base_datetime", "lat", "lon", "sog", "cog", "risk_level", "data_split")
 
 
@@ -188,10 +191,51 @@ def _(t):
         "id", "alert_type", "mmsi_1", "created_at", "is_resolved", "data_split")
 
 
-@case("st_03c_live_near_misses")
+@case("st_03c_live_near_misses", sql.over(f"""
+SELECT {sql.alert_id("'COLLISION_RISK'", "mmsi_1", "mmsi_2", "detected_at")} AS id, mmsi_1, mmsi_2, detected_at AS created_at,
+  severity, vessel_name_1, {dec("dist", 3)} AS distance_nm, lat, lon, false AS is_resolved
+FROM (SELECT *, row_number() OVER (PARTITION BY mmsi_1, mmsi_2, detected_at ORDER BY dist, event_id_1, event_id_2) AS place
+  FROM ({sql.near_miss_sql("unknown_is_zero", 300)})) WHERE place = 1""",
+  unknown_is_zero="SELECT * REPLACE (coalesce(heading, 0) AS heading, coalesce(sog, 0) AS sog) FROM bronze_once"))
 def _(t):
     alerts = t.spark.read.parquet(f"{_scoring_run(t)}/alerts")
-    return alerts.filter("alert_type = 'COLLISION_RISK'").drop("query_id", "batch_id")
+    return alerts.filter("alert_type = 'COLLISION_RISK'").select(
+        "id", "mmsi_1", "mmsi_2", "created_at", "severity", "vessel_name_1", "distance_nm", "lat", "lon", "is_resolved")
+
+
+def _live_models(t) -> str:
+    """A run table with a forest and a five-minute position model in production."""
+    def make(path: str) -> None:
+        forest(t).save(t.spark, f"{path}/forest")
+        live.save_position(position_model(t)[0], f"{path}/position")
+        for name, folder in ((live.FOREST, "forest"), (live.position_name(5), "position")):
+            runs.record(t.spark, f"{path}/runs", name, "first", "Production", f"{path}/{folder}", {}, {})
+
+    return f"{_once(t, 'live-models', make)}/runs"
+
+
+@case("st_03d_live_model", sql.over("SELECT count(*) AS reports, CAST(0 AS BIGINT) AS differing, true AS by_model FROM bronze_once"))
+def _(t):
+    """The stream scored with models against the same models over the whole table at once."""
+    table = _live_models(t)
+    path = scratch_dir(t.spark, "scored-by-model")
+    rows = scoring.live_reports(_stream(t, unique_messages(t)))
+    _finished(scoring.start_scoring(
+        rows, path, scratch_dir(t.spark, "cp"), bronze.UNTIL_DONE, live.ModelHandle(t.spark, table)))
+    got = ["is_anomaly", "anomaly_score", "anomaly_type", "predicted_lat", "predicted_lon", "method"]
+    streamed = t.spark.read.parquet(f"{path}/scored").select("mmsi", "base_datetime", F.struct(*got).alias("ours"))
+    numbers = {c: F.coalesce(c, F.lit(0.0)) for c in ("sog", "cog", "heading", "lat", "lon")}
+    once = tracks.dedup_exact(bronze_plan.batch_gate(t.reports)).withColumns(numbers)
+    once = bronze_plan.with_risk(alerts.batch_motion(once).withColumn("distance_nm", F.coalesce("distance_nm", F.lit(0.0))))
+    f = forest(t)
+    merged = alerts.merge_model(alerts.normalise_scores(
+        isolation_forest.score(alerts.rule_anomalies(once), f), low=f.low, high=f.high))
+    moved = supervised.with_predictions(merged, position_model(t)[0], 5, F.col("base_datetime"), min_sog=0.1)
+    whole = moved.select("mmsi", "base_datetime", F.struct(*got).alias("theirs"))
+    both = streamed.join(whole, ["mmsi", "base_datetime"], "full_outer")
+    return both.agg(
+        F.count("*").alias("reports"), F.count_if(~F.col("ours").eqNullSafe(F.col("theirs"))).alias("differing"),
+        (F.count_if(F.expr("ours.anomaly_type = 'ML_ANOMALY' OR ours.method = 'gbt'")) > 0).alias("by_model"))
 
 
 @case("st_05_motion_state", sql.over(f"""

@@ -180,8 +180,9 @@ SELECT *,
 FROM silver"""
 
 
-def near_miss_sql(source: str) -> str:
-    """Every pair of latest positions, compared directly."""
+def near_miss_sql(source: str, seconds: int | None = None) -> str:
+    """Every pair of positions, compared directly; at most so many seconds apart."""
+    near = f" AND abs(date_diff('second', a.base_datetime, b.base_datetime)) <= {seconds}" if seconds else ""
     dist = haversine("a.lat", "a.lon", "b.lat", "b.lon")
     turn = f"abs(coalesce(a.heading, 0) - {bearing('a.lat', 'a.lon', 'b.lat', 'b.lon')})"
     return f"""
@@ -191,7 +192,7 @@ SELECT *, CASE WHEN dist < 0.05 THEN 'CRITICAL' WHEN converging THEN 'HIGH' ELSE
          {dist} AS dist, (CASE WHEN {turn} > 180 THEN 360 - {turn} ELSE {turn} END) < 45 AS converging,
          (a.lat + b.lat) / 2 AS lat, (a.lon + b.lon) / 2 AS lon,
          greatest(a.base_datetime, b.base_datetime) AS detected_at
-  FROM {source} a JOIN {source} b ON a.mmsi < b.mmsi AND a.sog >= 1 AND b.sog >= 1
+  FROM {source} a JOIN {source} b ON a.mmsi < b.mmsi AND a.sog >= 1 AND b.sog >= 1{near}
 ) WHERE dist > 0 AND dist < CAST(0.1 AS DOUBLE)"""
 
 

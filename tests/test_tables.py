@@ -11,7 +11,7 @@ from wakeline.quality import checks
 from wakeline.session import scratch_dir
 from wakeline.sinks import tables as sinks
 from wakeline.sources import files
-from wakeline.streaming.state import SlotTable
+from wakeline.streaming.state import BucketTable, SlotTable
 
 
 def test_canonical_header_wins_over_alias(spark):
@@ -105,6 +105,134 @@ def test_slot_table_repeats_a_batch_without_harm(spark):
     assert [tuple(r) for r in table.read().collect()] == [("a", "x", 4)]
 
 
+def _add(new):
+    return lambda old: merge.upsert(old, new, ("k",), on_match={"n": F.expr("old.n + fresh.n")})
+
+
+def _written(spark, path, turn):
+    """Rows and files of a turn."""
+    return spark.read.parquet(f"{path}/turn={turn}").count(), len(list((path / f"turn={turn}").rglob("*.parquet")))
+
+
+def test_bucket_table_repeats_a_batch_without_harm(spark, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"), OLD, "k")
+    assert table.read().count() == 0 and table.read_like(spark.createDataFrame([("a",)], "k string")).count() == 0
+    new = spark.createDataFrame([("a", "x", 1)], OLD)
+    for batch in (0, 1, 1, 2, 2):
+        table.merge("query", batch, new, _add(new))
+    assert [tuple(r) for r in table.read().collect()] == [("a", "x", 3)]
+    assert [tuple(r) for r in table.read("query", 2).collect()] == [("a", "x", 2)]
+    table.merge("started anew", 0, new, _add(new))
+    assert [tuple(r) for r in table.read().collect()] == [("a", "x", 4)]
+    table.merge("started anew", 1, new.limit(0), _add(new.limit(0)))
+    assert table.read().count() == 1
+
+
+def test_bucket_table_splits_and_forgets(spark, tmp_path, monkeypatch):
+    """Buckets stay small, all rows are found, and replaced folders are deleted one turn later."""
+    monkeypatch.setattr(BucketTable, "BUCKET_ROWS", 20)
+    table = BucketTable(spark, str(tmp_path / "t"), OLD, "k")
+    want = {}
+    for batch in range(6):
+        keys = [f"v{k}" for k in range(batch * 40, batch * 80 + 90)]
+        new = spark.createDataFrame([(k, "x", 1) for k in keys], OLD)
+        table.merge("q", batch, new, _add(new))
+        want = {**want, **{k: want.get(k, 0) + 1 for k in keys}}
+        assert {r["k"]: r["n"] for r in table.read().collect()} == want
+    turn, manifest = table._manifest()
+    live = manifest.filter("NOT gone").collect()
+    assert max(r["n"] for r in live) <= 20 and sum(r["n"] for r in live) == len(want)
+    some = spark.createDataFrame([("v7",), ("v100",)], "k string")
+    found = {r["k"] for r in table.read_like(some).collect()}
+    assert {"v7", "v100"} <= found and len(found) <= 40
+    folders = {tuple(p.relative_to(tmp_path / "t").parts) for p in (tmp_path / "t").glob("turn=*/depth=*/prefix=*")}
+    kept = {(f"turn={r['at']}", f"depth={r['depth']}", f"prefix={r['prefix']}") for r in manifest.collect() if r["n"]}
+    assert folders == kept
+    assert sorted(p.name for p in (tmp_path / "t" / "manifest").glob("turn=*")) == [f"turn={turn - 1}", f"turn={turn}"]
+
+
+def test_a_batch_writes_by_its_keys_not_by_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(BucketTable, "BUCKET_ROWS", 100)
+    wrote = []
+    for fleet in (2_000, 20_000):
+        table = BucketTable(spark, str(tmp_path / str(fleet)), OLD, "k")
+        rows = spark.range(fleet).selectExpr("CAST(id AS STRING) AS k", "'x' AS name", "1 AS n")
+        table.merge("q", 0, rows, _add(rows))
+        new = spark.createDataFrame([(str(k), "y", 5) for k in range(10)], OLD)
+        table.merge("q", 1, new, _add(new))
+        wrote.append(_written(spark, tmp_path / str(fleet), 1))
+        assert table.read().count() == fleet and table.read().filter("n = 6").count() == 10
+    # ten keys: ten buckets at most, each of at most a hundred rows; a tenfold fleet does not make it twice as much
+    assert all(rows <= 1000 and files <= 10 for rows, files in wrote) and wrote[1][0] < 2 * wrote[0][0]
+
+
+def test_near_misses_whatever_the_batches(spark, tmp_path):
+    """A backlog of two hours in one batch or in many gives the same near misses as all pairs compared."""
+    import random
+    from datetime import datetime, timedelta
+
+    from wakeline.streaming import bronze, scoring
+
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+    reports = []
+    for k in range(150):
+        at = start + timedelta(seconds=rng.randrange(7200))
+        reports.append((at, f"36600000{rng.randrange(6)}", 30 + rng.randrange(4) * 0.0006, -90 + rng.randrange(3) * 0.0006))
+    reports = sorted({(r[0], r[1]): r for r in reports}.values())
+    want = set()
+    for i, (at, a, lat, lon) in enumerate(reports):
+        for other, b, lat2, lon2 in reports[:i]:
+            apart = ((lat - lat2) * 60) ** 2 + ((lon - lon2) * 60 * 0.866) ** 2
+            if a != b and (at - other).total_seconds() <= 300 and 0 < apart < 0.01:
+                want.add((min(a, b), max(a, b), at))
+    found = []
+    for n in (1, 5):
+        (tmp_path / f"in{n}").mkdir()
+        for k in range(n):
+            part = reports[k * len(reports) // n : (k + 1) * len(reports) // n]
+            (tmp_path / f"in{n}" / f"{k}.txt").write_text("".join(
+                f'{{"mmsi": "{m}", "base_datetime": "{at:%Y-%m-%d %H:%M:%S}", "lat": {lat}, "lon": {lon}, "sog": 5.0, "heading": 10.0}}\n'
+                for at, m, lat, lon in part))
+            stream = spark.readStream.text(str(tmp_path / f"in{n}"))
+            scoring.start_scoring(
+                scoring.live_reports(stream), str(tmp_path / f"out{n}"), str(tmp_path / f"cp{n}"), bronze.UNTIL_DONE, late_seconds=0
+            ).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / f"out{n}" / "alerts")).filter("alert_type = 'COLLISION_RISK'").collect()
+        found.append(sorted((r["mmsi_1"], r["mmsi_2"], r["created_at"]) for r in rows))
+    assert found[0] == found[1] == sorted(want) and want
+
+
+def test_another_stage_changes_the_scorer(spark, tmp_path):
+    """A forest that calls everything an outlier is recorded between two batches of one running scorer."""
+    import numpy as np
+
+    from wakeline import config as C
+    from wakeline.models import isolation_forest, live, runs
+    from wakeline.streaming import scoring
+
+    rows = spark.createDataFrame([(f"36600{k:04d}", k, 30.0 + k / 100, -90.0, 5.0 + k % 7, 1.0 * k) for k in range(60)],
+                                 "mmsi string, event_id long, lat double, lon double, sog double, heading double")
+    rows = rows.selectExpr("*", "heading AS cog", "'' AS vessel_name", "'70' AS vessel_type", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS base_datetime")
+    motion = rows.selectExpr("*", "0D AS sog_change", "0D AS heading_change", "0D AS distance_nm")
+    forest = isolation_forest.fit(motion, C.FOREST_FEATURES, trees=20)
+    table, handle = str(tmp_path / "runs"), None
+    handle = live.ModelHandle(spark, table)
+    scorer = scoring.LiveScorer(spark, str(tmp_path / "out"), models=handle)
+    kinds = []
+    for batch, cut in ((0, None), (1, -2.0), (2, 1.0)):
+        if cut is not None:
+            forest.cut = cut
+            forest.save(spark, str(tmp_path / f"forest{batch}"))
+            at = F.lit(f"2024-01-0{batch} 00:00:00").cast("timestamp_ntz")
+            runs.record(spark, table, live.FOREST, f"run{batch}", "Production", str(tmp_path / f"forest{batch}"), {}, {}, at)
+        scorer(rows, batch)
+        out = spark.read.parquet(f"{tmp_path}/out/scored").filter(f"batch_id = {batch}")
+        kinds.append(out.filter("anomaly_type = 'ML_ANOMALY'").count())
+    assert kinds[0] == kinds[1] == 0 and kinds[2] > 50
+    assert np.isfinite(forest.low) and handle.current().sources == {live.FOREST: "registry:Production"}
+
+
 def test_a_new_checkpoint_replaces_no_batch(spark, tmp_path):
     from wakeline.streaming import bronze
 

@@ -15,7 +15,7 @@ from wakeline import config as C
 from wakeline.functions import labels
 from wakeline.models import evaluation, scaling
 from wakeline.operators import timesplit
-from wakeline.plans.alerts import predict_positions
+from wakeline.plans.alerts import heading_or_course, predict_positions
 from wakeline.session import checkpoint_root
 
 
@@ -68,25 +68,30 @@ def train_position(
         rows.unpersist()
 
 
-def predict_with_models(
-    rows: DataFrame, models: dict[str, GBTRegressionModel] | None, minutes: int, as_of: Column,
-) -> DataFrame:
-    """Position ``minutes`` ahead by the models of that horizon, else by dead reckoning.
-
-    As in live use, the time gap is the horizon and the changes are 0; training saw the gap between pings.
-    """
-    if not models:
-        return predict_positions(rows, minutes)
-    inputs = rows.select("mmsi", "lat", "lon", *[
+def _model_inputs(rows: DataFrame, minutes: int, as_of: Column, *more: Column) -> DataFrame:
+    """The features as in live use: the time gap is the horizon and the changes are 0; training saw the gap between pings."""
+    return rows.select("lat", "lon", *[
         F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("sog", "cog", "heading")
-    ]).withColumns({
+    ], *more).withColumns({
         "sog_change": F.lit(0.0), "heading_change": F.lit(0.0), "time_delta_sec": F.lit(float(minutes * 60)),
         "hour": F.hour(as_of), "month": F.month(as_of),
     })
+
+
+def _with_axes(inputs: DataFrame, models: dict[str, GBTRegressionModel]) -> DataFrame:
     scored = assembled(inputs, C.POSITION_FEATURES)
     for model in models.values():
         scored = model.transform(scored)
-    return scored.select(
+    return scored
+
+
+def predict_with_models(
+    rows: DataFrame, models: dict[str, GBTRegressionModel] | None, minutes: int, as_of: Column,
+) -> DataFrame:
+    """Position ``minutes`` ahead by the models of that horizon, else by dead reckoning."""
+    if not models:
+        return predict_positions(rows, minutes)
+    return _with_axes(_model_inputs(rows, minutes, as_of, F.col("mmsi")), models).select(
         "mmsi", "lat", "lon",
         F.round(F.col("lat") + F.col("pred_lat"), 6).alias("predicted_lat"),
         F.round(F.col("lon") + F.col("pred_lon"), 6).alias("predicted_lon"),
@@ -94,6 +99,28 @@ def predict_with_models(
     )
 
 
+def with_predictions(
+    rows: DataFrame, models: dict[str, GBTRegressionModel] | None, minutes: int, as_of: Column, min_sog: float | None = None,
+) -> DataFrame:
+    """``rows`` with predicted position, method, horizon and confidence; vessels below ``min_sog`` get none.
+
+    A row without heading takes its course, as dead reckoning does.
+    """
+    if not models:
+        return predict_positions(rows, minutes, min_sog)
+    whole = rows.withColumns({"__row": F.struct(*rows.columns), "__at": as_of}).withColumn("heading", heading_or_course())
+    scored = _with_axes(_model_inputs(whole, minutes, F.col("__at"), F.col("__row"), F.col("__at")), models)
+    moving = F.lit(True) if min_sog is None else F.col("__row.sog") >= min_sog
+    return scored.select("__row", *[
+        F.when(moving, value).alias(name) for name, value in (
+            ("predicted_lat", F.round(F.col("lat") + F.col("pred_lat"), 6)),
+            ("predicted_lon", F.round(F.col("lon") + F.col("pred_lon"), 6)), ("method", F.lit("gbt")),
+        )
+    ], F.lit(minutes).alias("minutes_ahead"), F.when(moving, 0.82).alias("confidence")).select("__row.*", *[
+        "predicted_lat", "predicted_lon", "method", "minutes_ahead", "confidence",
+    ])
+
+
 # --- congestion --------------------------------------------------------------------------------
 
 

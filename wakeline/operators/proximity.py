@@ -38,34 +38,38 @@ def _cell_in_row(lon: str, count: str) -> str:
     return f"pmod(CAST(floor(({lon} + 180D) / 360D * {count}) AS BIGINT), {count})"
 
 
-def position_pairs(positions: DataFrame, radius_nm: float) -> DataFrame:
+def position_pairs(positions: DataFrame, radius_nm: float, slot: str | None = None) -> DataFrame:
     """All unordered pairs of distinct positions closer than ``radius_nm``.
 
-    ``positions`` has one row per distinct (lat, lon). Each row of latitude has cells about one radius
+    ``positions`` has one row per distinct (lat, lon), or per (lat, lon, ``slot``): then positions meet that lie in
+    the same slot of time or in neighbouring ones, and a pair has one row for each two slots. Each row of latitude has cells about one radius
     wide, the date line included, so a point meets only its own cell and the eight around it: the
     candidates stay within a small factor of the pairs that are truly close.
     """
     height = _row_height(radius_nm)
     placed = positions.withColumn("__row", F.expr(f"CAST(floor(lat / {height!r}D) AS BIGINT)"))
+    own, others, when = ([f"{slot} AS slot_a"], [f"{slot} AS slot_b"], ["slot_a", "slot_b"]) if slot else ([], [], [])
     left = (
         placed.withColumn("__n", F.expr(_cells_in_row("__row", radius_nm)))
-        .selectExpr("lat AS lat_a", "lon AS lon_a", "__row", f"{_cell_in_row('lon', '__n')} AS __cell")
+        .selectExpr("lat AS lat_a", "lon AS lon_a", *own, "__row", f"{_cell_in_row('lon', '__n')} AS __cell")
     )
     right = (
-        placed.selectExpr("lat AS lat_b", "lon AS lon_b", "explode(sequence(__row - 1, __row + 1)) AS __row")
+        placed.selectExpr("lat AS lat_b", "lon AS lon_b", *others, "explode(sequence(__row - 1, __row + 1)) AS __row")
         .withColumn("__n", F.expr(_cells_in_row("__row", radius_nm)))
         .withColumn("__home", F.expr(_cell_in_row("lon_b", "__n")))
         .selectExpr(
-            "lat_b", "lon_b", "__row",
+            "lat_b", "lon_b", *when[1:], "__row",
             "explode(array_distinct(array(pmod(__home - 1, __n), __home, pmod(__home + 1, __n)))) AS __cell",
         )
     )
+    if slot:  # an equality too, so that a cell that is busy all day is dealt out by time
+        left, right = left.withColumn("__slot", F.col("slot_a")), right.withColumn("__slot", F.explode(F.expr("sequence(slot_b - 1, slot_b + 1)")))
     return (
-        left.join(right, ["__row", "__cell"])
+        left.join(right, ["__row", "__cell", *(["__slot"] if slot else [])])
         .filter("lat_a < lat_b OR (lat_a = lat_b AND lon_a < lon_b)")
         .withColumn("dist", geo.haversine_nm("lat_a", "lon_a", "lat_b", "lon_b"))
         .filter(f"dist > 0 AND dist < {radius_nm}D")
-        .select("lat_a", "lon_a", "lat_b", "lon_b")
+        .select("lat_a", "lon_a", "lat_b", "lon_b", *when)
     )
 
 
@@ -90,11 +94,18 @@ def near_misses(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
             f"lat AS lat_{mark}", f"lon AS lon_{mark}", f"struct({', '.join(moving.columns)}) AS v_{mark}"
         )
 
-    ends = ("v1.lat", "v1.lon", "v2.lat", "v2.lon")
-    return (
+    found = (
         pairs.join(side("a"), ["lat_a", "lon_a"]).join(side("b"), ["lat_b", "lon_b"])
         .filter("v_a.mmsi <> v_b.mmsi")
-        .selectExpr("if(v_a.mmsi < v_b.mmsi, v_a, v_b) AS v1", "if(v_a.mmsi < v_b.mmsi, v_b, v_a) AS v2")
+    )
+    return _described(found, t)
+
+
+def _described(found: DataFrame, t: Thresholds, *more: str) -> DataFrame:
+    """Near-miss rows of the pairs ``v_a, v_b``, with columns ``more`` as they are."""
+    ends = ("v1.lat", "v1.lon", "v2.lat", "v2.lon")
+    return (
+        found.selectExpr("if(v_a.mmsi < v_b.mmsi, v_a, v_b) AS v1", "if(v_a.mmsi < v_b.mmsi, v_b, v_a) AS v2", *more)
         .withColumns({
             "dist": geo.haversine_nm(*ends),
             "turn": geo.turn_wrapped("coalesce(v1.heading, 0D)", geo.bearing_sql(*ends)),
@@ -112,6 +123,34 @@ def near_misses(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
             F.expr("(v1.lat + v2.lat) / 2").alias("lat"),
             F.expr("(v1.lon + v2.lon) / 2").alias("lon"),
             labels.near_miss_text("v1.mmsi", "v2.mmsi", "dist", "converging").alias("description"),
-            F.expr("greatest(v1.base_datetime, v2.base_datetime)").alias("detected_at"),
+            F.expr("greatest(v1.base_datetime, v2.base_datetime)").alias("detected_at"), *more,
         )
     )
+
+
+def near_reports(reports: DataFrame, seconds: int, fresh: str | None = None, t: Thresholds = DEFAULTS) -> DataFrame:
+    """Near misses over time: reports of two moving vessels within the radius and at most ``seconds`` apart.
+
+    One row for two vessels and the later time, of the closest pair of reports (then the earliest). Only pairs with a
+    report where ``fresh`` holds are looked for, if that column is named. The search runs over distinct positions per
+    slot of ``seconds``, and each meets the cells and the slots around its own; reports are attached afterwards.
+    """
+    mark = F.lit(True) if fresh is None else F.col(fresh)
+    moving = reports.filter(F.col("sog") >= t.near_miss_min_sog).select(
+        "mmsi", "vessel_name", "event_id", "lat", "lon", "heading", "base_datetime", mark.alias("fresh"),
+        F.unix_seconds(F.col("base_datetime").cast("timestamp")).alias("second"),
+    ).withColumn("slot", F.floor(F.col("second") / seconds))
+    pairs = position_pairs(moving.select("lat", "lon", "slot").distinct(), t.near_miss_nm, "slot")
+
+    def side(mark: str) -> DataFrame:
+        return moving.selectExpr(
+            f"lat AS lat_{mark}", f"lon AS lon_{mark}", f"slot AS slot_{mark}", f"struct({', '.join(moving.columns)}) AS v_{mark}"
+        )
+
+    found = (
+        pairs.join(side("a"), ["lat_a", "lon_a", "slot_a"]).join(side("b"), ["lat_b", "lon_b", "slot_b"])
+        .filter(f"v_a.mmsi <> v_b.mmsi AND (v_a.fresh OR v_b.fresh) AND abs(v_a.second - v_b.second) <= {int(seconds)}")
+    )
+    rows = _described(found.withColumn("apart", geo.haversine_nm("lat_a", "lon_a", "lat_b", "lon_b")), t, "apart")
+    best = F.min_by(F.struct(*[c for c in rows.columns if c != "apart"]), F.struct("apart", "event_id_1", "event_id_2"))
+    return rows.groupBy("mmsi_1", "mmsi_2", "detected_at").agg(best.alias("__best")).select("__best.*")
