@@ -19,7 +19,7 @@ from wakeline.plans import alerts
 from wakeline.plans import bronze as bronze_plan
 from wakeline.session import scratch_dir
 from wakeline.sinks import tables
-from wakeline.streaming import bronze, scoring, sources, state
+from wakeline.streaming import bronze, motion, scoring, sources, state
 
 COLUMNS = sources.MESSAGE_COLUMNS + ", event_id BIGINT"
 FILES_PER_SPAN = 4
@@ -244,16 +244,9 @@ SELECT event_id, mmsi, base_datetime, sog - prev_sog AS sog_change,
     AS heading_change, time_delta_sec, distance_nm
 FROM ({sql.stepped('bronze_once')})"""))
 def _(t):
-    store = "spark.sql.streaming.stateStore.providerClass"
-    before = t.spark.conf.get(store)
-    t.spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        rows = state.motion_stream(_gated(t, unique_messages(t)))
-        path = scratch_dir(t.spark, "motion")
-        _finished(bronze.append_direct(rows, path, scratch_dir(t.spark, "cp")))
-    finally:
-        t.spark.conf.set(store, before)
-    return t.spark.read.schema(rows.schema).parquet(path)
+    path = scratch_dir(t.spark, "motion")
+    _finished(motion.start_motion(_gated(t, unique_messages(t)), path, scratch_dir(t.spark, "cp")))
+    return motion.stored_motion(t.spark, path)
 
 
 @case("st_06_replay", sql.over("SELECT event_id, mmsi, base_datetime, lat, lon FROM silver WHERE data_split = 'live'"))

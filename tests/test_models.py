@@ -1,12 +1,14 @@
 """Models on small data, late rows in state, and the exchanges of the silver job."""
 
+from datetime import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
 
 from wakeline.models import evaluation, isolation_forest, scaling, supervised
 from wakeline.plans import alerts, silver
-from wakeline.streaming.state import LastPing
+from wakeline.streaming.motion import MotionLinker
 
 
 @pytest.fixture(scope="module")
@@ -84,33 +86,36 @@ def test_too_few_rows_give_no_model(tables):
         supervised.train_position(tables.silver.limit(50), 5)
 
 
-class _Value:
-    def __init__(self):
-        self.value = None
-
-    def exists(self):
-        return self.value is not None
-
-    def get(self):
-        return self.value
-
-    def update(self, value):
-        self.value = value
-
-
-def test_late_report_leaves_the_state_alone():
-    ping = LastPing()
-    ping._last = _Value()
-    columns = ["event_id", "mmsi", "event_time", "lat", "lon", "sog", "heading"]
-
-    def batch(*rows):
-        frame = pd.DataFrame([(e, "a", pd.Timestamp(2024, 1, 1, h), 1.0, 1.0, float(h), 0.0) for e, h in rows], columns=columns)
-        return next(ping.handleInputRows(("a",), iter([frame]), None)).set_index("event_id")["prev_sog"]
-
-    assert batch((1, 5), (2, 6))[2] == 5.0
-    later = batch((3, 4), (4, 8))
-    assert pd.isna(later[3]) and later[4] == 6.0
-    assert ping._last.get()[0].hour == 8
+def _pings(spark, rows):
+    return spark.createDataFrame(
+        [(e, "a", datetime(2024, 1, 1, h), 1.0, 1.0, float(h), 0.0) for e, h in rows],
+        "event_id long, mmsi string, event_time timestamp_ntz, lat double, lon double, sog double, heading double")
+
+
+def test_late_report_leaves_the_state_alone(spark, tmp_path):
+    linker = MotionLinker(spark, str(tmp_path))
+    found = {}
+    for batch, rows in enumerate([[(1, 5), (2, 6)], [(3, 4), (4, 8)], [(5, 7)]]):
+        linker(_pings(spark, rows), batch)
+        out = spark.read.parquet(f"{tmp_path}/motion").filter(f"batch_id = {batch}")
+        found |= {r["event_id"]: (r["sog_change"], r["time_delta_sec"]) for r in out.collect()}
+    assert found == {1: (None, None), 2: (1.0, 3600), 3: (None, None), 4: (2.0, 7200), 5: (None, None)}
+    assert [r["base_datetime"].hour for r in linker.last.read().collect()] == [8]
+
+
+def test_one_vessel_with_two_million_reports(spark, tmp_path):
+    """In one batch, after an earlier ping: no row is gathered in Python, and every report has its predecessor."""
+    linker = MotionLinker(spark, str(tmp_path))
+    n = 2_000_000
+    rows = spark.range(n, numPartitions=8).selectExpr(
+        "id AS event_id", "'a' AS mmsi", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS event_time", "1D AS lat", "1D AS lon",
+        "CAST(id AS DOUBLE) AS sog", "0D AS heading")
+    first = _pings(spark, [(-1, 0)]).selectExpr("event_id", "mmsi", "event_time - INTERVAL 1 SECOND AS event_time", "lat", "lon", "-1D AS sog", "heading")
+    linker(first, 0)
+    linker(rows, 1)
+    got = spark.read.parquet(f"{tmp_path}/motion").filter("batch_id = 1")
+    assert got.filter("sog_change = 1 AND time_delta_sec = 1").count() == n == got.count()
+    assert linker.last.read().first()["event_id"] == n - 1
 
 
 def test_no_exchange_of_reports_by_vessel_alone(spark, tables):

@@ -275,11 +275,29 @@ def test_ids_of_large_reports_do_not_overflow(spark):
     assert len(set(ids)) == 4 and all(0 <= i < 2**60 for i in ids)
 
 
-def test_mixed_headers_in_a_folder_are_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("MMSI,LAT,LON\n1,30.5,-91.3\n")
-    (tmp_path / "b.csv").write_text("MMSI,LON,LAT\n1,-91.3,30.5\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        files.read_days(spark, [str(tmp_path)]).collect()
+def test_each_file_of_a_folder_has_its_own_header(spark, tmp_path):
+    """Another order, other spellings, other columns, an empty file, one with a header alone, odd names, many lines."""
+    lines = "".join(f"{k},2024-01-01 00:00:00,{30 + k / 1e4},-91.3\n" for k in range(1, 3000))
+    (tmp_path / "a.csv").write_text("MMSI,BaseDateTime,LAT,LON\n" + lines)
+    (tmp_path / "b.csv").write_text("MMSI,LON,LAT,BaseDateTime\n7,-91.3,30.5,2024-01-02 00:00:00\n")
+    (tmp_path / "c d[1].csv").write_text("\nlongitude,latitude,Time, mmsi ,sog\n-91.3,30.5,2024-01-03 00:00:00,8,4.5\n")
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "f.csv").write_text("MMSI,BaseDateTime,LAT,LON\n")
+    rows = files.read_days(spark, [str(tmp_path)])
+    assert rows.filter("CAST(lat AS DOUBLE) BETWEEN 30 AND 31 AND lon = '-91.3'").count() == 3001 == rows.count()
+    got = {r["mmsi"]: (r["base_datetime"], r["sog"]) for r in rows.filter("source_file <> 'a.csv'").collect()}
+    assert got == {"7": ("2024-01-02 00:00:00", None), "8": ("2024-01-03 00:00:00", "4.5")}
+    assert len(files.file_headers(spark, [str(tmp_path)])) == 3
+
+
+def test_unknown_header_names_its_file(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("MMSI,BaseDateTime,LAT,LON\n1,2024-01-01 00:00:00,30.5,-91.3\n")
+    (tmp_path / "odd.csv").write_text("MMSI,When,LAT,LON\n1,2024-01-01 00:00:00,30.5,-91.3\n")
+    with pytest.raises(ValueError, match="odd.csv.*base_datetime"):
+        files.read_days(spark, [str(tmp_path)])
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.csv").write_text("")
+    assert files.read_days(spark, [str(tmp_path / "none")]).count() == 0
 
 
 def test_ingest_makes_an_id(spark):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,21 +14,46 @@ from wakeline.functions import cells, cleaning, labels
 from wakeline.plans import bronze
 
 SAMPLE_BUCKETS = 1 << 20
+#: What a report cannot be without.
+REQUIRED_FIELDS = ("mmsi", "base_datetime", "lat", "lon")
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The files of each header line, as text. One pass over the lines, which looks at the first block of each file only.
+
+    What comes back is one name a file and one line a header; files without a line have neither.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    ).filter("block = 0 AND trim(value) <> ''")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        found.setdefault(row["header"], []).append(row["file"])
+    return found
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path for a reader, which takes some characters for patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def read_days(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw CSV reports as text columns under their canonical names, with the name of the file.
 
-    Each path is a folder (or glob) whose files share one header; folders may differ in spelling and in
-    the columns they have. A file whose header differs from its folder's is an error when it is read, as its
-    columns would be taken for others.
+    Every file is read by its own header: order, spelling and set of columns may differ from file to file, also within a
+    folder. Files with equal headers are read together, so the plan has one scan for each form of header. A header
+    without the columns no report can lack is an error that names the file.
     """
-    parts = [
-        resolve_headers(
-            spark.read.option("header", True).option("enforceSchema", False).csv(path).withColumn("source_file", F.col("_metadata.file_name"))
-        )
-        for path in paths
-    ]
+    parts = []
+    for header, names in file_headers(spark, paths).items():
+        csv = spark.read.option("header", True).option("enforceSchema", False).csv([_as_path(n) for n in names])
+        part = resolve_headers(csv)
+        if lacking := [c for c in REQUIRED_FIELDS if c not in part.columns]:
+            raise ValueError(f"header of {names[0]} has no column for {', '.join(lacking)}: {header[:200]}")
+        parts.append(part.withColumn("source_file", F.col("_metadata.file_name")))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{c} STRING" for c in (*REQUIRED_FIELDS, "source_file")))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
