@@ -120,3 +120,16 @@ def _psi(f: str) -> str:
 @case("dq_08b_drift", sql.over(" UNION ALL ".join(_psi(f) for f in _FEATURES)))
 def _(t):
     return quality.drift(t.silver.filter("data_split = 'train'"), t.silver.filter("data_split <> 'train'"), _FEATURES)
+
+
+def _ks(f: str) -> str:
+    place = f"least(1000, CAST(floor(({f} - lo) / ((hi - lo) / 1000)) AS INTEGER) + 1)"
+    gap = "abs(sum(p) OVER upto / CAST(sum(p) OVER () AS DOUBLE) - sum(q) OVER upto / CAST(sum(q) OVER () AS DOUBLE))"
+    return (f"SELECT '{f}' AS feature, {dec('max(gap)', 6)} AS ks, {dec('max(gap)', 6)} > 0.1 AS drifted FROM (SELECT {gap} AS gap FROM "
+            f"(SELECT {place} AS bin, count(*) FILTER ({TRAIN}) AS p, count(*) FILTER ({REST}) AS q FROM silver, "
+            f"(SELECT min({f}) AS lo, max({f}) AS hi FROM silver) WHERE {f} IS NOT NULL GROUP BY 1) WINDOW upto AS (ORDER BY bin))")
+
+
+@case("dq_08c_ks", sql.over(" UNION ALL ".join(_ks(f) for f in _FEATURES)))
+def _(t):
+    return quality.ks_distance(t.silver.filter(TRAIN), t.silver.filter(REST), _FEATURES)

@@ -310,12 +310,12 @@ _CELL = "CAST(round({x} / CAST(0.1 AS DOUBLE)) AS BIGINT)"
 
 @case("st_10_hourly_density", sql.over(f"""
 SELECT date_trunc('hour', base_datetime) AS hour_bucket, {_CELL.format(x='lat')} AS lat_cell, {_CELL.format(x='lon')} AS lon_cell,
-  count(*) AS vessel_count, {sql.avg('sog')} AS avg_sog, count(*) FILTER (WHERE sog < 0.5) AS stopped_count
+  count(*) AS vessel_count, count(DISTINCT mmsi) AS unique_vessels, {sql.avg('sog')} AS avg_sog, count(*) FILTER (WHERE sog < 0.5) AS stopped_count
 FROM bronze_once GROUP BY 1, 2, 3
 HAVING date_trunc('hour', min(base_datetime)) + INTERVAL 1 HOUR <= (SELECT max(base_datetime) FROM bronze_once) - INTERVAL 10 DAY"""))
 def _(t):
     rows = bronze.hourly_density(_gated(t, unique_messages(t)), "10 days")
     path = scratch_dir(t.spark, "density-stream")
     _finished(bronze.append_direct(rows, path, scratch_dir(t.spark, "cp")))
-    return t.spark.read.schema(rows.schema).parquet(path).drop("approx_vessels")
+    return t.spark.read.schema(rows.schema).parquet(path)
 

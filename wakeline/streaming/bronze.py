@@ -62,23 +62,29 @@ def without_repeats(stream: DataFrame, delay: str = "1 hour", keys: tuple[str, .
 
 
 def hourly_density(stream: DataFrame, delay: str = "1 hour", width: float = 0.1) -> DataFrame:
-    """Reports, vessels (approximate) and mean speed per cell and hour, emitted when the hour is complete."""
+    """Reports, vessels and mean speed per cell and hour, emitted when the hour is complete.
+
+    Two stateful steps, each closed by the watermark: what a vessel did in a cell and hour, then the cells. So vessels are
+    counted exactly, with one state row for each vessel, cell and open hour.
+    """
     timed = _watermarked(stream.withColumn("at", F.col("event_time")), "at", delay)
+    hour = F.window("at", "1 hour").alias("hour")
+    cell = [cells.index("lat", width).alias("lat_cell"), cells.index("lon", width).alias("lon_cell")]
+    vessels = timed.groupBy(hour, *cell, "mmsi").agg(
+        F.count("*").alias("reports"),
+        F.sum(F.expr("CAST(rint(sog * 10000D) AS BIGINT)")).alias("sog_units"),
+        F.count_if(F.col("sog") < DEFAULTS.stopped_kn).alias("stopped"),
+    )
+    again = F.window(F.window_time("hour"), "1 hour").alias("hour")
     return (
-        timed.groupBy(
-            F.window("at", "1 hour").alias("hour"),
-            cells.index("lat", width).alias("lat_cell"),
-            cells.index("lon", width).alias("lon_cell"),
-        )
+        vessels.groupBy(again, "lat_cell", "lon_cell")
         .agg(
-            F.count("*").alias("vessel_count"),
-            F.approx_count_distinct("mmsi").alias("approx_vessels"),
-            F.sum(F.expr("CAST(rint(sog * 10000D) AS BIGINT)")).alias("sog_units"),
-            F.count_if(F.col("sog") < DEFAULTS.stopped_kn).alias("stopped_count"),
+            F.sum("reports").alias("vessel_count"), F.count("*").alias("unique_vessels"),
+            F.sum("sog_units").alias("sog_units"), F.sum("stopped").alias("stopped_count"),
         )
         .select(
             F.col("hour.start").cast(NTZ).alias("hour_bucket"), "lat_cell", "lon_cell", "vessel_count",
-            "approx_vessels", F.expr("sog_units / (vessel_count * 10000D)").alias("avg_sog"), "stopped_count",
+            "unique_vessels", F.expr("sog_units / (vessel_count * 10000D)").alias("avg_sog"), "stopped_count",
         )
     )
 
