@@ -346,3 +346,43 @@ def test_stored_rows_are_pruned(spark, tables):
     plan = queries.track(tables.silver, "360000001", limit=5000)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(mmsi), EqualTo(mmsi,360000001)]" in plan
     assert "TakeOrdered" in plan
+
+
+def test_a_load_shuffles_no_row_before_its_period(spark, tmp_path):
+    """With broadcasts off: stored rows older than the watermark reach the result from their scan, with a pushed filter."""
+    from wakeline.plans import warehouse
+
+    rows = spark.range(1000).selectExpr(
+        "CAST(id % 7 AS STRING) AS cell", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, id) AS hour", "id AS n")
+    rows.write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    control = spark.createDataFrame([], warehouse.CONTROL_COLUMNS)
+    now = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    empty, control = warehouse.incremental_load(stored.limit(0), control, stored, "t", ("cell", "hour"), "hour", now)
+    assert empty.count() == 1000
+    control = spark.createDataFrame(control.collect(), warehouse.CONTROL_COLUMNS)
+    source = stored.withColumn("n", F.when(F.col("hour") >= control.first()["last_loaded"], F.col("n") + 1).otherwise(-1))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loaded, after = warehouse.incremental_load(stored, control, source, "t", ("cell", "hour"), "hour", now)
+        plan = loaded._jdf.queryExecution().executedPlan().toString()
+        first = plan[plan.index("Union") :].split("FileScan")  # the union's first branch is what stays as it is
+        assert "Exchange" not in first[0] and "LessThan(hour" in first[1].splitlines()[0] and "Exchange" in plan
+        assert after.first()["rows_loaded"] == 1001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = {(r["cell"], r["hour"]): r["n"] for r in loaded.collect()}
+    assert len(got) == 1000 and sorted(got.values())[-1] == 1000 and min(got.values()) == 0
+
+
+def test_a_load_replaces_older_rows_of_its_keys(spark):
+    from wakeline.plans import warehouse
+
+    day = "TIMESTAMP_NTZ '2024-01-0{} 00:00:00'"
+    stored = spark.sql(f"SELECT 'a' AS mmsi, {day.format(1)} AS at, 1 AS n UNION ALL SELECT 'b', {day.format(3)}, 2 UNION ALL SELECT 'c', NULL, 3")
+    control = spark.sql(f"SELECT 't' AS table_name, {day.format(3)} AS last_loaded, 2L AS rows_loaded, {day.format(3)} AS updated_at")
+    source = spark.sql(f"SELECT 'a' AS mmsi, {day.format(4)} AS at, 5 AS n UNION ALL SELECT 'b', {day.format(3)}, 2")
+    loaded, after = warehouse.incremental_load(stored, control, source, "t", ("mmsi",), "at", F.lit("2024-01-05").cast("timestamp_ntz"))
+    assert sorted((r["mmsi"], r["n"]) for r in loaded.collect()) == [("a", 5), ("b", 2), ("c", 3)]
+    assert after.first()["rows_loaded"] == 3

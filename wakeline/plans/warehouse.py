@@ -35,12 +35,25 @@ def incremental_load(
     The watermark becomes the newest loaded time, not the clock, and its period is read again. Of several fresh rows
     with one key the newest counts. Rows are merged on their key and only those that differ from the stored ones
     count as loaded: loading the same source twice changes nothing.
+
+    What is fresh lies at or after the watermark, so only the stored rows of that period are compared with it. Where
+    ``time`` is part of the key they are also the only ones that can be replaced: all older rows pass by unshuffled, and the
+    watermark reaches the scan as a literal, to prune files and partitions. Else older rows of the fresh keys go.
     """
     fresh = since(source, time, control, table)
     if zone:
         fresh = in_coastal_zones(fresh, *zone)
-    fresh = merge.last_per_key(fresh.select(*stored.columns), keys, (time,)).subtract(stored)
-    loaded = merge.upsert(stored, fresh, keys)
+    newest = control.filter(F.col("table_name") == table).agg(F.max("last_loaded")).first()[0]
+    fresh = merge.last_per_key(fresh.select(*stored.columns), keys, (time,))
+    if newest is None:
+        older, period = stored.limit(0), stored
+    else:
+        at_mark = F.lit(newest).cast("timestamp_ntz").cast(stored.schema[time].dataType)
+        older, period = stored.filter(F.col(time).isNull() | (F.col(time) < at_mark)), stored.filter(F.col(time) >= at_mark)
+    fresh = fresh.subtract(period)
+    if time not in keys:
+        older = older.join(fresh.select(*keys), list(keys), "left_anti").select(*stored.columns)
+    loaded = older.unionByName(merge.upsert(period, fresh, keys))
     mark = fresh.agg(
         F.lit(table).alias("table_name"),
         F.max(F.col(time).cast("timestamp_ntz")).alias("last_loaded"),
