@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from checks.registry import case
 from checks.sql import AS_OF
 from wakeline.plans import alerts, warehouse, weather
 from wakeline.session import scratch_dir
-from wakeline.sinks import tables
+from wakeline.sinks import maintenance, tables
 from wakeline.sources import files
 from wakeline.streaming import scoring
 
@@ -326,3 +327,24 @@ def _(t):
     return tables.retained(t.silver, t.as_of, 15).select(*SHORT)
 
 
+
+
+@case("snk_19b_retention_by_partition", sql.over(f"SELECT {_SHORT} FROM silver WHERE base_datetime >= {AS_OF} - INTERVAL 372 HOUR"))
+def _(t):
+    path = _silver_path(t)
+    maintenance.drop_before(t.spark, path, datetime(2024, 1, 31) - timedelta(hours=372))
+    return t.spark.read.parquet(path).select(*SHORT)
+
+
+@case("snk_16b_compacted_batches", sql.over("SELECT mmsi, base_datetime, lat, lon FROM silver"))
+def _(t):
+    """Silver in a folder for each of thirty batches, compacted twice on the way."""
+    path = scratch_dir(t.spark, "batches")
+    out = maintenance.BatchFolders(t.spark, path, "mmsi STRING, base_datetime TIMESTAMP_NTZ, lat DOUBLE, lon DOUBLE")
+    rows = t.silver.select("mmsi", "base_datetime", "lat", "lon")
+    for first in (0, 10, 20):
+        some = rows.withColumn("batch_id", F.pmod(F.xxhash64("mmsi", "base_datetime"), F.lit(30)).cast("int"))
+        some = some.filter(F.col("batch_id").between(first, first + 9)).withColumn("query_id", F.lit("q"))
+        some.write.mode("append").partitionBy("query_id", "batch_id").parquet(path)
+        out.compact()
+    return out.read()
