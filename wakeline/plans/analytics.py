@@ -141,10 +141,10 @@ def top_risky_vessels(
 ) -> DataFrame:
     """The riskiest vessels with their dimension row and last position.
 
-    The limit is applied before the joins, so that the driving side has ``top_n`` rows, a proven bound,
-    and both joins broadcast it.
+    The limit is applied before the joins, so that the driving side has the caller's ``top_n`` rows; Spark broadcasts
+    them as long as they are few.
     """
-    top = F.broadcast(risk_events(track, as_of, days, top_n))
+    top = risk_events(track, as_of, days, top_n)
     return (
         dim.select("mmsi", "vessel_name", "vessel_type_label", "length", "draft")
         .join(top, "mmsi")
