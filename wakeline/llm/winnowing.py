@@ -6,7 +6,8 @@ among those of the benchmark finds every shared window; whatever is found is the
 An item of fewer words than ``size``, but not none, is one window of its own length and is looked up as a whole.
 
 The benchmark is read in blocks of at most about ``block_bytes`` of text (the driver counts them first), and every
-block is a pass of its own over the documents, so what a task holds has a fixed bound however large the benchmark is.
+block is a step of its own over the documents. The steps of all blocks stand in one plan and the driver holds the items, so a
+benchmark has to be small next to the driver's and a task's memory: this is not a join of two large tables.
 The documents are not shuffled.
 
 Defined cases: a null or empty text has no words and no hits; a document or item without words never matches; items
