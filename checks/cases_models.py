@@ -227,14 +227,30 @@ def _(t):
     return evaluation.position_errors(rows)
 
 
-@case("ml_14_importance")
-def _(t):
+def _importances(t):
     parts = [
         isolation_forest.importance(t.spark, forest(t)).withColumn("model", F.lit("anomaly")),
         supervised.importance(t.spark, congestion_model(t), C.CONGESTION_FEATURES).withColumn("model", F.lit("congestion")),
-        supervised.importance(t.spark, position_model(t)[0]["lat"], C.POSITION_FEATURES).withColumn("model", F.lit("lat_5min")),
+        *[supervised.boosted_importance(model, C.POSITION_FEATURES).withColumn("model", F.lit(f"{axis}_5min"))
+          for axis, model in position_model(t)[0].items()],
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@case("ml_14_importance")
+def _(t):
+    return _importances(t)
+
+
+@case("ml_14b_importance_totals", """
+SELECT unnest(['anomaly', 'congestion', 'lat_5min', 'lon_5min']) AS model, CAST(1 AS DOUBLE) AS total, true AS all_positive
+""")
+def _(t):
+    return _importances(t).groupBy("model").agg(
+        F.round(F.sum("importance"), 6).alias("total"), F.bool_and(F.col("importance") >= 0).alias("all_positive"))
 
 
 @case("sl_05_top_features")

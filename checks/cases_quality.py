@@ -53,7 +53,8 @@ def _(t):
 SELECT event_id, coalesce(time_delta_sec <= 0 OR distance_nm * 3600 / time_delta_sec > 50, false) AS teleport
 FROM ({sql.stepped('clean')})"""))
 def _(t):
-    return quality.teleport_flags(t.clean).select("event_id", "teleport")
+    rows = t.clean.select("event_id", "mmsi", "base_datetime", "lat", "lon")
+    return quality.teleport_flags(rows).select("event_id", "teleport")
 
 
 @case("dq_04_without_sentinels", sql.over("""

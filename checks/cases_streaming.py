@@ -19,7 +19,7 @@ from wakeline.plans import alerts
 from wakeline.plans import bronze as bronze_plan
 from wakeline.session import scratch_dir
 from wakeline.sinks import tables
-from wakeline.streaming import bronze, motion, scoring, sources, state
+from wakeline.streaming import bronze, motion, scoring, sources, state, storms
 
 COLUMNS = sources.MESSAGE_COLUMNS + ", event_id BIGINT"
 FILES_PER_SPAN = 4
@@ -319,3 +319,21 @@ def _(t):
     _finished(bronze.append_direct(rows, path, scratch_dir(t.spark, "cp")))
     return t.spark.read.schema(rows.schema).parquet(path)
 
+
+@case("dq_08d_storm_alerts", sql.over("""
+SELECT min(minute) AS first_minute, min(minute) + INTERVAL 2 MINUTE AS certain_at,
+  CAST(sum(alerts) FILTER (WHERE place <= 2) AS BIGINT) AS alerts FROM (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY minute) AS place FROM (
+    SELECT *, epoch(minute) // 60 - row_number() OVER (ORDER BY minute) AS run FROM (
+      SELECT date_trunc('minute', created_at) AS minute, count(*) AS alerts FROM alerts GROUP BY ALL)
+    WHERE alerts > 1))
+GROUP BY run HAVING count(*) >= 2 AND min(minute) + INTERVAL 2 MINUTE <= (SELECT max(created_at) FROM alerts) - INTERVAL 8 DAY"""))
+def _(t):
+    sent = scratch_dir(t.spark, "alerts-sent")
+    for first in range(1, 32, 5):
+        t.alerts.filter(F.dayofmonth("created_at").between(first, first + 4)).repartition(2).write.mode("append").parquet(sent)
+    stream = t.spark.readStream.schema(t.alerts.schema).option("maxFilesPerTrigger", 2).parquet(sent)
+    rows = storms.storm_alerts(stream, per_minute=1, minutes=2, delay="8 days")
+    path = scratch_dir(t.spark, "storms")
+    _finished(bronze.append_direct(rows, path, scratch_dir(t.spark, "cp")))
+    return t.spark.read.schema(rows.schema).parquet(path)

@@ -16,10 +16,15 @@ from wakeline.plans import alerts, analytics, silver
 KEYS = "event_id, mmsi, base_datetime"
 
 
+def _clean(t, *columns):
+    """Clean reports with the columns of a query: rows and day summary share an exchange of these."""
+    return t.clean.select(*KEYS.split(", "), *columns)
+
+
 @case("wn_01_previous_position", sql.over(
     f"SELECT {KEYS}, prev_time, prev_lat, prev_lon, time_delta_sec, distance_nm FROM ({sql.stepped('clean')})"))
 def _(t):
-    linked = tracks.with_neighbour(t.clean, ("base_datetime", "lat", "lon"))
+    linked = tracks.with_neighbour(_clean(t, "lat", "lon"), ("base_datetime", "lat", "lon"))
     return linked.select(
         "event_id", "mmsi", "base_datetime", F.col("prev.base_datetime").alias("prev_time"),
         F.col("prev.lat").alias("prev_lat"), F.col("prev.lon").alias("prev_lon"),
@@ -28,7 +33,7 @@ def _(t):
 
 
 def _linked(t):
-    return tracks.link_plausible(t.clean, silver.MOTION_FIELDS, silver.no_teleport)
+    return tracks.link_plausible(_clean(t, "lat", "lon", "sog", "heading"), silver.MOTION_FIELDS, silver.no_teleport)
 
 
 @case("wn_02_teleport_filter", sql.over(f"SELECT {KEYS}, lat, lon FROM ({sql.survivors('clean')})"))
@@ -62,7 +67,7 @@ def _first(c):
     f"SELECT {KEYS}, {_first('vessel_name')}, {_first('vessel_type')}, {_first('imo')} FROM clean"))
 def _(t):
     columns = ["vessel_name", "vessel_type", "imo"]
-    return tracks.fill_first_known(t.clean, columns).select(*KEYS.split(", "), *columns)
+    return tracks.fill_first_known(_clean(t, *columns), columns)
 
 
 _FILLED = ("vessel_name", "vessel_type", "imo", "call_sign", "length", "width", "draft")
@@ -72,7 +77,7 @@ _FILLED = ("vessel_name", "vessel_type", "imo", "call_sign", "length", "width",
     f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in _FILLED)
     + " FROM clean WINDOW w AS (PARTITION BY mmsi ORDER BY base_datetime ROWS UNBOUNDED PRECEDING)"))
 def _(t):
-    return tracks.forward_fill(t.clean, _FILLED).select(*KEYS.split(", "), *_FILLED)
+    return tracks.forward_fill(_clean(t, *_FILLED), _FILLED)
 
 
 @case("wn_07_latest_per_vessel", sql.over("SELECT * EXCLUDE (is_stopped, is_slow, is_speeding) FROM newest"))
@@ -144,7 +149,7 @@ SELECT {KEYS}, coalesce(sog - prev_sog, 0) AS sog_change,
   abs(fmod(fmod(coalesce(heading - prev_heading, 0) + 180, 360) + 360, 360) - 180) AS heading_change,
   CASE WHEN prev_lat IS NULL THEN CAST(0 AS DOUBLE) ELSE {_STEP} END AS distance_nm FROM ({sql.lagged('clean')})"""))
 def _(t):
-    moved = alerts.batch_motion(t.clean)
+    moved = alerts.batch_motion(_clean(t, "lat", "lon", "sog", "heading"))
     return moved.select(*KEYS.split(", "), "sog_change", "heading_change", F.round("distance_nm", 6).alias("distance_nm"))
 
 
@@ -191,7 +196,7 @@ SELECT {KEYS}, CASE WHEN next_lat IS NULL THEN coalesce(nullif(cog, 0), nullif(h
   SELECT *, lead(lat) OVER w AS next_lat, lead(lon) OVER w AS next_lon FROM clean
   WINDOW w AS (PARTITION BY mmsi ORDER BY base_datetime))"""))
 def _(t):
-    linked = tracks.with_neighbour(t.clean, ("lat", "lon"), "next", ahead=True)
+    linked = tracks.with_neighbour(_clean(t, "lat", "lon", "cog", "heading"), ("lat", "lon"), "next", ahead=True)
     on_track = F.round(geo.bearing_deg("lat", "lon", "next.lat", "next.lon"), 6)
     last = F.expr("coalesce(nullif(cog, 0D), nullif(heading, 0D), 0D)")
     return linked.select(*KEYS.split(", "), F.when(F.col("next").isNull(), last).otherwise(on_track).alias("bearing"))
@@ -216,7 +221,7 @@ SELECT {KEYS}, sog - prev_sog AS sog_change, {_SIGNED} AS heading_change, {sql.S
   {_STEP} AS distance_nm, {sql.truncated("lat", "0.01")} AS lat_bin_fine, {sql.truncated("lon", "0.01")} AS lon_bin_fine
 FROM (SELECT *, heading - prev_heading AS h FROM ({sql.lagged('clean')}))"""))
 def _(t):
-    moved = silver.signed_motion(t.clean)
+    moved = silver.signed_motion(_clean(t, "lat", "lon", "sog", "heading"))
     return moved.select(
         *KEYS.split(", "), "sog_change", "heading_change", "time_delta_sec",
         F.round("distance_nm", 6).alias("distance_nm"), "lat_bin_fine", "lon_bin_fine")

@@ -6,6 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.ml.regression import GBTRegressor
+
 from wakeline.models import evaluation, isolation_forest, scaling, supervised
 from wakeline.plans import alerts, silver
 from wakeline.streaming.motion import MotionLinker
@@ -34,6 +36,62 @@ def test_forest_finds_the_outlier_and_survives_storage(spark, cluster, tmp_path)
     assert "flat" not in importance and sum(importance.values()) == pytest.approx(1)
 
 
+def test_forest_importance_is_the_variance_explained(spark, cluster):
+    features, seed = ("x", "y"), 7
+    fitted = isolation_forest.fit(cluster, features, trees=6, max_samples=40, seed=seed)
+    data = scaling.filled(cluster, features).select("mmsi", "base_datetime", *features)
+    samples = isolation_forest._tree_samples(data, 6, 40, seed, ("mmsi", "base_datetime")).toPandas()
+    shares = []
+    for tree, rows in samples.groupby("tree"):
+        nodes = fitted.nodes[fitted.nodes["tree"] == tree].set_index("node")
+        rows = rows.sort_values("__rn")
+        x, y = rows[list(features)].to_numpy(float), isolation_forest.targets(seed, tree, len(rows))
+        gain = np.zeros(2)
+
+        def walk(node, members):
+            n = nodes.loc[node]
+            if n["feature"] < 0:
+                return
+            f, left = int(n["feature"]), x[members, int(n["feature"])] <= n["threshold"]
+            parts = members[left], members[~left]
+            gain[f] += len(members) * y[members].var() - sum(len(p) * y[p].var() for p in parts)
+            walk(n["left"], parts[0])
+            walk(n["right"], parts[1])
+
+        walk(0, np.arange(len(rows)))
+        shares.append(gain / gain.sum())
+    found = {r["feature"]: r["importance"] for r in isolation_forest.importance(spark, fitted).collect()}
+    assert [found["x"], found["y"]] == pytest.approx(list(np.mean(shares, axis=0)))
+
+
+def test_boosted_importance_is_the_mean_gain_of_a_split(spark):
+    df = spark.range(300).selectExpr("double(id % 10) AS a", "double(id % 7) AS b", "0D AS c", "double(id % 10) * 2 + double(id % 7) AS y")
+    rows = supervised.assembled(df, ("a", "b", "c"))
+    model = GBTRegressor(labelCol="y", maxIter=3, maxDepth=2, seed=1).fit(rows)
+    pdf, gains = df.toPandas(), {0: [], 1: []}
+    residual, predicted = pdf["y"].to_numpy(), np.zeros(300)
+    x = pdf[["a", "b", "c"]].to_numpy()
+
+    def walk(node, members):
+        if node.numDescendants() == 0:
+            return np.full(len(members), node.prediction())
+        split, out = node.split(), np.zeros(len(members))
+        left = x[members, split.featureIndex()] <= split.threshold()
+        y = residual[members]
+        gains[split.featureIndex()].append(len(y) * y.var() - left.sum() * y[left].var() - (~left).sum() * y[~left].var())
+        out[left], out[~left] = walk(node.leftChild(), members[left]), walk(node.rightChild(), members[~left])
+        return out
+
+    for tree, weight in zip(model.trees, model.treeWeights, strict=True):
+        predicted = predicted + weight * walk(tree._java_obj.rootNode(), np.arange(300))
+        residual = 2 * (pdf["y"].to_numpy() - predicted)
+    mean = {name: np.mean(gains[k]) for k, name in enumerate("ab") if gains[k]}
+    found = {r["feature"]: r["importance"] for r in supervised.boosted_importance(model, ("a", "b", "c")).collect()}
+    assert found == pytest.approx({f: g / sum(mean.values()) for f, g in mean.items()}, rel=1e-6)
+    splits = {r["feature"]: r["importance"] for r in supervised.boosted_importance(model, ("a", "b", "c"), "weight").collect()}
+    assert splits == pytest.approx({name: len(gains[k]) / sum(map(len, gains.values())) for k, name in enumerate("ab") if gains[k]})
+
+
 def test_fitting_twice_gives_the_same_forest(cluster):
     a = isolation_forest.fit(cluster, ("x", "y"), trees=8)
     b = isolation_forest.fit(cluster.repartition(5), ("x", "y"), trees=8)

@@ -1,6 +1,6 @@
 """Sources, sinks, merges and quality rules on small hand-made rows."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from wakeline.quality import checks
 from wakeline.session import scratch_dir
 from wakeline.sinks import tables as sinks
 from wakeline.sources import files
+from wakeline.streaming import bronze, storms
 from wakeline.streaming.state import BucketTable, SlotTable
 
 
@@ -57,6 +58,28 @@ def test_track_fact_has_all_rows_unless_asked(tables):
     assert everything // 2 <= some < everything
 
 
+def test_storms_of_a_stream_are_raised_once(spark, tmp_path):
+    """Runs of busy minutes over midnight and over batches; the last row moves the watermark on."""
+    runs = {datetime(2024, 1, 1, 23, 58): 5, datetime(2024, 1, 2, 0, 10): 3, datetime(2024, 1, 2, 0, 20): 2, datetime(2024, 1, 2, 0, 23): 3}
+    at = sorted(first + timedelta(minutes=k) for first, n in runs.items() for k in range(n))
+    rows = [(t,) for t in at for _ in range(3)] + [(datetime(2024, 1, 2, 0, 30),), (None,)]
+    df = spark.createDataFrame(rows, "created_at timestamp_ntz")
+    batch = checks.alert_bursts(df, per_minute=2, minutes=3)
+    starts = {r["minute"] for r in batch.collect() if r["storm"]}
+    starts = sorted(m for m in starts if m - timedelta(minutes=1) not in starts)
+    assert storms.storm_alerts(df, 2, 3).orderBy("first_minute").collect() == [(m, m + timedelta(minutes=3), 9) for m in starts]
+    rows.append((datetime(2024, 1, 2, 3, 0),))
+    for name, cut in (("one", len(rows)), ("many", 5)):
+        for k in range(0, len(rows), cut):  # files of one batch each, in the order of time
+            spark.createDataFrame(rows[k : k + cut], "created_at timestamp_ntz").coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+        raised = storms.storm_alerts(stream, 2, 3)
+        path = str(tmp_path / f"{name}-raised")
+        bronze.append_direct(raised, path, str(tmp_path / f"{name}-cp")).awaitTermination()
+        found = spark.read.schema(raised.schema).parquet(path).orderBy("first_minute").collect()
+        assert found == [(m, m + timedelta(minutes=3), 9) for m in starts]
+
+
 def test_storm_across_midnight(spark):
     at = [datetime(2024, 1, 1, 23, 59), datetime(2024, 1, 2, 0, 0), datetime(2024, 1, 2, 0, 1)]
     df = spark.createDataFrame([(t,) for t in at for _ in range(3)], "created_at timestamp_ntz")

@@ -138,3 +138,19 @@ def test_silver_reads_and_deduplicates_bronze_once(spark, tables):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
     assert len([x for x in plan.split("\n") if " Exchange " in x]) <= 4
+
+
+@pytest.mark.parametrize("operator", [
+    lambda df: tracks.with_neighbour(df, ("lat", "lon")),
+    lambda df: tracks.with_neighbour(df, ("lat",), "next", ahead=True),
+    lambda df: tracks.forward_fill(df, ["vessel_name"]),
+    lambda df: tracks.fill_first_known(df, ["vessel_name"]),
+])
+def test_rows_and_day_summary_share_one_exchange(spark, tables, operator):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = operator(tracks.dedup_exact(tables.bronze))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1

@@ -44,6 +44,32 @@ def _whole_rows(df: DataFrame) -> Column:
     return F.max(F.xxhash64(*df.columns))
 
 
+def _by_day(df: DataFrame) -> DataFrame:
+    """The rows, shuffled to their vessel-days: the one exchange that rows and day summary both start from.
+
+    They can share it if the rows keep their columns, so callers choose columns before an operator and not after it.
+    """
+    return _days(df).repartition(KEY, DAY)
+
+
+def _day_summary(rows: DataFrame, *figures: Column) -> DataFrame:
+    """One row per vessel-day of rows from :func:`_by_day`, without another shuffle of them.
+
+    The keys to join on are figures as well: what a join demands of its keys would else be pushed down into this branch,
+    which then could not read the exchange of the rows.
+    """
+    return rows.groupBy(KEY, DAY).agg(
+        *figures, F.max(KEY).alias("__key"), F.max(DAY).alias("__of"), _whole_rows(rows).alias("__rows"))
+
+
+def _carried(summary: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """The columns to join to the rows on vessel and day."""
+    return (
+        summary.withColumns(values).filter("__rows IS NOT NULL")
+        .select(F.col("__key").alias(KEY), F.col("__of").alias(DAY), *values)
+    )
+
+
 def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(o) for o in order])
 
@@ -83,12 +109,12 @@ def with_neighbour(
     order: Sequence[str] = (TIME,),
 ) -> DataFrame:
     """Adds struct ``name`` with ``fields`` of the previous (or next) row of the same vessel."""
-    rows = _days(df)
+    rows = _by_day(df)
     packed = _packed(fields)
     step = F.lead if ahead else F.lag
     edge = F.min_by if ahead else F.max_by
-    edges = rows.groupBy(KEY, DAY).agg(edge(packed, _order_key(order)).alias("__edge"))
-    carry = edges.select(KEY, DAY, step("__edge", 1).over(_over_days()).alias("__carry"))
+    edges = _day_summary(rows, edge(packed, _order_key(order)).alias("__edge"))
+    carry = _carried(edges, {"__carry": step("__edge", 1).over(_over_days())})
     return (
         rows.withColumn(name, step(packed, 1).over(_in_day(order)))
         .join(carry, [KEY, DAY], "left")
@@ -145,15 +171,11 @@ def with_rows_ahead(
 
 def forward_fill(df: DataFrame, columns: Sequence[str], order: Sequence[str] = (TIME,)) -> DataFrame:
     """Each null takes the last known value of the same vessel."""
-    rows = _days(df)
+    rows = _by_day(df)
     key = _order_key(order)
-    known = rows.groupBy(KEY, DAY).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__end_{c}") for c in columns]
-    )
+    known = _day_summary(rows, *[F.max_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__end_{c}") for c in columns])
     earlier = _over_days().rowsBetween(Window.unboundedPreceding, -1)
-    carry = known.select(
-        KEY, DAY, *[F.last(f"__end_{c}", ignorenulls=True).over(earlier).alias(f"__carry_{c}") for c in columns]
-    )
+    carry = _carried(known, {f"__carry_{c}": F.last(f"__end_{c}", ignorenulls=True).over(earlier) for c in columns})
     running = _in_day(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = rows.select(
         *[c for c in rows.columns if c not in columns],
@@ -166,15 +188,11 @@ def forward_fill(df: DataFrame, columns: Sequence[str], order: Sequence[str] = (
 
 def fill_first_known(df: DataFrame, columns: Sequence[str], order: Sequence[str] = (TIME,)) -> DataFrame:
     """Each null takes the first known value of the same vessel, wherever on the track it stands."""
-    rows = _days(df)
+    rows = _by_day(df)
     key = _order_key(order)
-    known = rows.groupBy(KEY, DAY).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__first_{c}") for c in columns]
-    )
+    known = _day_summary(rows, *[F.min_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__first_{c}") for c in columns])
     whole = _over_days().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carry = known.select(
-        KEY, DAY, *[F.first(f"__first_{c}", ignorenulls=True).over(whole).alias(f"__carry_{c}") for c in columns]
-    )
+    carry = _carried(known, {f"__carry_{c}": F.first(f"__first_{c}", ignorenulls=True).over(whole) for c in columns})
     return rows.join(carry, [KEY, DAY], "left").select(
         *[F.coalesce(c, f"__carry_{c}").alias(c) if c in columns else F.col(c) for c in df.columns]
     )
