@@ -66,6 +66,30 @@ def test_equals_brute_force(spark, block):
     assert as_set(kept, "doc_id") == sorted(((w[0],) for w in want if not w[5]), key=repr)
 
 
+def test_a_joined_benchmark_gives_what_a_held_one_gives(spark):
+    """Copies, nulls, columns with clashing names, and a window that many items and documents have."""
+    rows = texts(6)
+    shared = "these ten words stand in nearly all of the items given"
+    rows = [(i, f"{t} {shared} end {i % 3}" if t and i and i % 2 else t) for i, t in rows] + [rows[3], (None, rows[5][1]), (901, None), (902, "")]
+    items = benchmark(rows) + [(k, f"{k} {shared} {k} {k}") for k in range(100, 160)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, rows).selectExpr("*", "1 AS key", "'x' AS text_key", "2 AS Hit", "3 AS word_count", "4 AS item", "5 AS starts")
+    held = winnowing.annotate(docs, bench)
+    joined = winnowing.annotate(docs, bench, block_bytes=1000)
+    assert joined.columns == held.columns
+    flat = [c for c in docs.columns] + [f"contamination.{c}" for c in ("n_words", "starts", "ends", "items")]
+    one, two = (sorted(map(repr, df.select(*flat).collect())) for df in (held, joined))
+    assert one == two and any("'100'" in r for r in one)
+    only = winnowing.annotate(docs, bench, keep=["doc_id"], block_bytes=1000)
+    assert only.columns == ["doc_id", "contamination"] and only.count() == len(rows)
+
+
+def test_a_joined_benchmark_without_words(spark):
+    bench = spark.createDataFrame([(1, "... --- ...")], "item_id long, text string")
+    got = winnowing.annotate(documents(spark, texts(6)), bench, block_bytes=1)
+    assert got.filter("size(contamination.starts) > 0").count() == 0 and got.count() == len(texts(6))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = documents(spark, texts(6))
