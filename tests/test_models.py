@@ -216,3 +216,17 @@ def test_scores_equal_a_walk_through_the_nodes(cluster):
 
     for i in (0, 17, 300, 600):
         assert scored.loc[i, "raw_score"] == pytest.approx(walk(scored.loc[i]))
+
+
+def test_position_rounds_start_from_stored_rows(tables, monkeypatch):
+    """Each round runs the plan of its training rows: a scan, without the windows that made them."""
+    plans, fit = [], GBTRegressor.fit
+
+    def kept(self, rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return fit(self, rows)
+
+    monkeypatch.setattr(GBTRegressor, "fit", kept)
+    supervised.train_position(tables.silver, 5, rounds=1, depth=2, min_rows=1)
+    assert len(plans) == 2
+    assert not any("InMemoryRelation" in p or "lead(" in p for p in plans)

@@ -154,3 +154,9 @@ def test_rows_and_day_summary_share_one_exchange(spark, tables, operator):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+
+
+def test_rows_of_later_days_are_not_broadcast(tables):
+    """The arrays that look past midnight stay on the executors, however small Spark takes them for."""
+    ahead = tracks.with_rows_ahead(tables.silver, ("lat", "lon"), {"ahead": 10})
+    assert "BroadcastHashJoin" not in ahead._jdf.queryExecution().executedPlan().toString()
