@@ -73,3 +73,14 @@ def test_zone_edges(spark):
     points = spark.createDataFrame([(1, 29.5, -95.3), (2, 29.85, -94.8), (3, 29.49, -95.0), (4, 29.6, -90.0), (5, None, 1.0)], "id int, lat double, lon double")
     found = {r["id"]: r["zone"] for r in zones.with_zone(points).collect()}
     assert found == {1: "Houston Ship Channel", 2: "Houston Ship Channel", 3: None, 4: "Port of New Orleans", 5: None}
+
+
+def test_two_crowded_places_are_dealt_to_tasks(spark, monkeypatch):
+    """All vessels of one place meet all of the other: every pair once, and not in one task."""
+    monkeypatch.setattr(proximity, "BLOCK_VESSELS", 10)
+    made = [(f"{i:04d}", 10.0 + i % 2 * 0.0005, 10.0, 5.0, 0.0) for i in range(400)]
+    found = proximity.near_misses(latest(spark, made))
+    pairs = {(r["mmsi_1"], r["mmsi_2"]) for r in found.select("mmsi_1", "mmsi_2").collect()}
+    assert pairs == {(a[0], b[0]) for a, b in itertools.combinations(made, 2) if a[1] != b[1]}
+    assert found.count() == 200 * 200
+    assert found.selectExpr("spark_partition_id() AS task").distinct().count() > 1

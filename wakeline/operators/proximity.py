@@ -12,6 +12,7 @@ from wakeline.functions import geo, labels
 
 _MARGIN = 1.000001
 _POLAR_EDGE = 89.9
+BLOCK_VESSELS = 1000
 
 
 def _row_height(radius_nm: float) -> float:
@@ -79,7 +80,10 @@ def near_misses(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     ``latest`` is the stored table with one row per vessel; it is read once for each side of the joins.
     The search runs over distinct positions; vessels are attached afterwards. A position shared by very
     many vessels (a default coordinate, say) is therefore one point of the search and its vessels are
-    never compared with each other; they are at distance zero, which is no near miss.
+    never compared with each other; they are at distance zero, which is no near miss. Where two such positions
+    are close, every vessel of one meets every vessel of the other: their vessels are dealt to blocks of about
+    ``BLOCK_VESSELS``, and each two blocks meet on their own, so that no task holds all pairs of two positions. The
+    number of tasks is that of the session's shuffles: few bytes of vessels make many pairs, so it must not follow the bytes.
 
     Vessel 1 is the one with the smaller mmsi; the pair converges when its heading (north if unknown) is
     within the limit of the bearing to vessel 2.
@@ -87,17 +91,26 @@ def near_misses(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     moving = latest.filter(F.col("sog") >= t.near_miss_min_sog).select(
         "mmsi", "vessel_name", "event_id", "lat", "lon", "heading", "base_datetime"
     )
-    pairs = position_pairs(moving.select("lat", "lon").distinct(), t.near_miss_nm)
+    spots = moving.groupBy("lat", "lon").agg(F.ceil(F.count("*") / BLOCK_VESSELS).alias("blocks"))
+    block = F.pmod(F.xxhash64("mmsi", "event_id"), F.col("blocks"))
+    dealt = moving.join(spots, ["lat", "lon"]).withColumn("block", block)
+    meetings = position_pairs(spots.select("lat", "lon"), t.near_miss_nm)
+    for mark in ("a", "b"):
+        blocks = spots.selectExpr(
+            f"lat AS lat_{mark}", f"lon AS lon_{mark}", f"explode(sequence(0L, blocks - 1)) AS block_{mark}")
+        meetings = meetings.join(blocks, [f"lat_{mark}", f"lon_{mark}"])
+
+    tasks = int(latest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def side(mark: str) -> DataFrame:
-        return moving.selectExpr(
-            f"lat AS lat_{mark}", f"lon AS lon_{mark}", f"struct({', '.join(moving.columns)}) AS v_{mark}"
+        place = [f"lat_{mark}", f"lon_{mark}", f"block_{mark}"]
+        vessels = dealt.selectExpr(
+            f"lat AS lat_{mark}", f"lon AS lon_{mark}", f"block AS block_{mark}",
+            f"struct({', '.join(moving.columns)}) AS v_{mark}"
         )
+        return meetings.join(vessels, place).repartition(tasks, *meetings.columns)
 
-    found = (
-        pairs.join(side("a"), ["lat_a", "lon_a"]).join(side("b"), ["lat_b", "lon_b"])
-        .filter("v_a.mmsi <> v_b.mmsi")
-    )
+    found = side("a").join(side("b"), meetings.columns).filter("v_a.mmsi <> v_b.mmsi")
     return _described(found, t)
 
 
