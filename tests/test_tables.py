@@ -409,3 +409,24 @@ def test_a_load_replaces_older_rows_of_its_keys(spark):
     loaded, after = warehouse.incremental_load(stored, control, source, "t", ("mmsi",), "at", F.lit("2024-01-05").cast("timestamp_ntz"))
     assert sorted((r["mmsi"], r["n"]) for r in loaded.collect()) == [("a", 5), ("b", 2), ("c", 3)]
     assert after.first()["rows_loaded"] == 3
+
+
+def test_near_misses_are_left_out_where_alerts_are_filtered(tables):
+    """A consumer of other alerts does not search for near misses, and the table holds both kinds."""
+    plan = queries.recent_anomalies(tables.alerts, tables.as_of, 48)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan
+    whole = tables.alerts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in whole and "Join" in whole
+
+
+def test_a_stream_of_stored_files_keeps_its_batches(spark, tables, tmp_path):
+    """Rows are sent as their tasks hold them, in as many files as there are, and arrive in so many batches."""
+    from checks.cases_streaming import _in_batches
+
+    path, out = str(tmp_path / "sent"), str(tmp_path / "got")
+    rows = spark.range(0, 100, numPartitions=6)
+    rows.write.parquet(path)
+    query = bronze.append_direct(_in_batches(tables, rows, path, 2), out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert query.lastProgress["batchId"] == 1
+    assert spark.read.schema(rows.schema).parquet(out).count() == 100
