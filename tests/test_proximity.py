@@ -3,7 +3,7 @@
 import itertools
 import math
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -84,3 +84,39 @@ def test_two_crowded_places_are_dealt_to_tasks(spark, monkeypatch):
     assert pairs == {(a[0], b[0]) for a, b in itertools.combinations(made, 2) if a[1] != b[1]}
     assert found.count() == 200 * 200
     assert found.selectExpr("spark_partition_id() AS task").distinct().count() > 1
+
+
+def live(spark, seed, spots, each):
+    """Reports of moving vessels near each other, some vessels reporting often, some once; ``fresh`` in two of three."""
+    rng, start, rows = random.Random(seed), datetime(2024, 1, 1), []
+    for vessel in range(spots):
+        lat, lon = rng.choice(((10.0, 179.9999), (-60.0, 30.0), (89.95, 0.0)))
+        for _ in range(rng.choice((1, 1, each))):
+            lon_now = round((lon + rng.randrange(3) * 0.0005 + 180) % 360 - 180, 4)
+            at = start + timedelta(seconds=rng.randrange(1800))
+            rows.append((f"{vessel:03d}", f"V{vessel}", len(rows), lat + rng.randrange(3) * 0.0005, lon_now, 5.0, 0.0, at, len(rows) % 3 > 0))
+    return rows, spark.createDataFrame(rows, LATEST + ", fresh boolean")
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_near_reports_equal_every_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(proximity, "BLOCK_VESSELS", block)
+    rows, reports = live(spark, 5, 120, 9)
+    best = {}
+    for x, y in itertools.combinations(rows, 2):
+        x, y = sorted((x, y))
+        apart = miles(x[3:5], y[3:5])
+        if x[0] != y[0] and (x[8] or y[8]) and abs((x[7] - y[7]).total_seconds()) <= 300 and 0 < apart < Thresholds().near_miss_nm:
+            key = x[0], y[0], max(x[7], y[7])
+            best[key] = min(best.get(key, (9, 0, 0)), (round(apart, 9), x[2], y[2]))
+    found = {(r["mmsi_1"], r["mmsi_2"], r["detected_at"]): r for r in proximity.near_reports(reports, 300, "fresh").collect()}
+    assert found.keys() == best.keys() and len(best) > 200
+    assert all(abs(found[k]["distance_nm"] - best[k][0]) < 1e-3 for k in best)
+
+
+def test_pairs_of_lone_reports_are_not_shuffled(spark):
+    """From the search to the rows there is no exchange where vessels report once."""
+    _, reports = live(spark, 6, 10, 2)
+    plan = proximity.near_reports(reports, 300)._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = plan[: next(i for i, line in enumerate(plan) if "Join [__row" in line)]
+    assert not any("Exchange" in line or "Aggregate" in line for line in above)
