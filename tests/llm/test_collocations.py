@@ -2,14 +2,17 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.cases import as_set, documents, texts
 from wakeline.llm import collocations
+from wakeline.llm.collocations import Bitmap, counted_words, summed
 from wakeline.llm.double_array import DoubleArray
 
 RESULT = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -123,3 +126,17 @@ def test_trie_counts_all_sequences(seed):
     )
     assert trie.counts(trie.symbols(text), group, 5).tolist() == [want[s] for s in listed]
     assert DoubleArray.build(np.zeros((0, 5), np.uint64), np.zeros(0, np.int64)).counts(np.zeros(3, np.int64) - 1, group, 5).tolist() == []
+
+
+@pytest.mark.parametrize("step", [counted_words, summed((2,), Bitmap(20, np.full(1 << 17, 255, np.uint8)))], ids=["words", "pairs"])
+def test_a_worker_holds_one_small_slice(step):
+    """The arrays of a batch of 8 MB stay within 100 MB; two workers share an executor with the JVM."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"word{k}" for k in range(3000)])
+    texts = [" ".join(rng.choice(words, 1000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in step(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 3000 and peak < 100e6

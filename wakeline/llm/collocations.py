@@ -47,7 +47,7 @@ SHARD_PHRASES = 500_000
 MOST_BITS = 28
 STRETCH = 1 << 14
 SUMS = 64
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 KEYS = tuple(f"k{k}" for k in range(1, LONGEST + 1))
 
@@ -58,7 +58,11 @@ WORD = SPACED & ~ENDS
 
 
 class Spoken:
-    """The words of a slice in lower case, with the piece each one stands in and a key of word and language."""
+    """The words of a slice in lower case, with the piece each one stands in and a key of word and language.
+
+    Hashing needs some numbers a byte, so a worker's memory follows the slice; what the slices of a task have in common is
+    summed by Spark before it is shuffled.
+    """
 
     def __init__(self, part: Slice, langs: list[str]) -> None:
         self.part = part.lowered()
@@ -67,8 +71,7 @@ class Spoken:
         salt = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
         salts = np.array([salt[x] for x in langs], np.uint64)
         self.keys = mix(self.words.hashes ^ salts[self.words.text])
-        ended = np.concatenate(([0], np.cumsum(ENDS[self.part.data])))
-        self.piece = ended[self.words.start] + self.words.text
+        self.piece = np.searchsorted(np.flatnonzero(ENDS[self.part.data]), self.words.start) + self.words.text
 
     def windows(self, size: int, among: np.ndarray | None = None) -> np.ndarray:
         """Where ``size`` words of one piece start; ``among`` narrows the starts."""
