@@ -120,3 +120,46 @@ def test_pairs_of_lone_reports_are_not_shuffled(spark):
     plan = proximity.near_reports(reports, 300)._jdf.queryExecution().executedPlan().toString().splitlines()
     above = plan[: next(i for i, line in enumerate(plan) if "Join [__row" in line)]
     assert not any("Exchange" in line or "Aggregate" in line for line in above)
+
+
+def test_near_misses_in_order_are_the_same_rows_dealt_by_severity_and_time(spark, monkeypatch):
+    monkeypatch.setattr(proximity, "SECTION_PAIRS", 50)
+    rng, start = random.Random(7), datetime(2024, 1, 1)
+    rows = []
+    for vessel in range(150):
+        lat, lon = rng.choice(((10.0, 179.9999), (-60.0, 30.0), (89.95, 0.0)))
+        lon = round((lon + rng.randrange(3) * 0.0005 + 180) % 360 - 180, 4)
+        at = None if vessel % 20 == 0 else start + timedelta(seconds=rng.randrange(40))
+        heading = None if vessel % 7 == 0 else float(rng.randrange(360))
+        rows.append((f"{vessel // 2 * 2 if vessel % 30 == 1 else vessel:03d}", f"V{vessel}", vessel, lat + rng.randrange(3) * 0.0007, lon, 5.0, heading, at))
+    latest = spark.createDataFrame([*rows, rows[5], (None, "V", 200, 10.0, 179.9999, 5.0, 0.0, start)], LATEST)
+    dealt = proximity.near_misses_in_order(latest)
+    found = dealt.selectExpr("spark_partition_id() AS part", "*").collect()
+    plain = proximity.near_misses(latest).collect()
+    assert sorted(str(r[1:]) for r in found) == sorted(str(tuple(r)) for r in plain) and len(plain) > 500
+    parts = {}
+    for r in found:
+        parts.setdefault(r["part"], []).append(r)
+    assert all(len({r["severity"] for r in part}) == 1 for part in parts.values()) and len(parts) > 6
+    rank = {"CRITICAL": 0, "HIGH": 1, "MEDIUM": 2}
+    age = lambda r: start - (r["detected_at"] or datetime(1970, 1, 1))
+    spans = [(rank[part[0]["severity"]], min(map(age, part)), max(map(age, part))) for _, part in sorted(parts.items())]
+    assert all(a[0] < b[0] or (a[0] == b[0] and a[2] < b[1]) for a, b in itertools.pairwise(spans))
+
+
+def test_no_vessels_near_each_other(spark):
+    assert proximity.near_misses_in_order(latest(spark, [("1", 1.0, 1.0, 5.0, 0.0), ("2", 2.0, 1.0, 5.0, 0.0)])).count() == 0
+
+
+def test_open_collisions_are_ordered_without_a_shuffle_of_pairs(spark):
+    import checks.cases  # noqa: F401
+    from checks.registry import QUERIES
+
+    found = QUERIES["prj_22_open_collisions"](spark, "/root/testdata/sf0.01")
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = plan[: next(i for i, line in enumerate(plan) if "SortMergeJoin [section" in line or "Join [lat_" in line)]
+    assert not any("Exchange" in line for line in above)
+    rows = found.collect()
+    rank = {"CRITICAL": 0, "HIGH": 1, "MEDIUM": 2}
+    assert [r["id"] for r in rows] == [r["id"] for r in sorted(rows, key=lambda r: (rank[r["severity"]], datetime.max - r["created_at"], r["id"]))]
+    assert len(rows) > 10

@@ -124,8 +124,9 @@ def anomaly_text(kind: str, mmsi: str, score: str) -> Column:
 
 
 def near_miss_text(mmsi_1: str, mmsi_2: str, distance: str, converging: str) -> Column:
+    """``distance`` is text of two decimals."""
     return F.expr(
-        f"concat(format_string('Vessels %s and %s are %.2f nm apart', {mmsi_1}, {mmsi_2}, {distance}), "
+        f"concat('Vessels ', {mmsi_1}, ' and ', {mmsi_2}, ' are ', {distance}, ' nm apart', "
         f"if({converging}, ' and converging', ''))"
     )
 

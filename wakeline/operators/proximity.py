@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from wakeline.config import COLLISION_KIND, DEFAULTS, EARTH_RADIUS_NM, Thresholds
 from wakeline.functions import geo, labels
+from wakeline.session import materialise
 
 _MARGIN = 1.000001
 _POLAR_EDGE = 89.9
 BLOCK_VESSELS = 1000
+SECTION_PAIRS = 500_000
+MOST_RANGES = 1000
 
 
 def _row_height(radius_nm: float) -> float:
@@ -121,30 +124,90 @@ def near_misses(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     return _described(found, t)
 
 
+def near_misses_in_order(latest: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """The rows of ``near_misses``, dealt to partitions in descending order of severity and then of ``detected_at``.
+
+    A partition is one severity and one range of time, so a consumer that wants the rows in this order sorts each
+    partition on its own. The pairs, whose number may grow with the square of the vessels in one place, are neither
+    sampled nor shuffled for it: vessels travel to the partition in which they are the later one of a pair, once for each
+    position near their own, and to those in which a vessel beside them is the later one. The ranges come from the times of the vessels and
+    the number of pairs, which is counted by position; each has about ``SECTION_PAIRS`` pairs, and there are at most
+    ``MOST_RANGES``. Equal times share a range.
+
+    Distance and bearings belong to two positions and are computed once for these.
+    """
+    moving = latest.filter(F.col("sog") >= t.near_miss_min_sog).select(
+        "mmsi", "vessel_name", "event_id", "lat", "lon", "heading", "base_datetime"
+    ).withColumn("at", F.coalesce(F.unix_micros(F.col("base_datetime").cast("timestamp")), F.lit(-(2**63))))
+    spots = moving.groupBy("lat", "lon").agg(F.count("*").alias("n"))
+    either = F.explode(F.array(F.struct(*[f"{c}_{m}" for m in "ab" for c in ("lat", "lon")]), F.struct(*[
+        F.col(f"{c}_{m}").alias(f"{c}_{o}") for m, o in ("ba", "ab") for c in ("lat", "lon")])))
+    near = materialise(position_pairs(spots, t.near_miss_nm, carried="n").select(either.alias("s"), F.col("n_a") * F.col("n_b")).toDF(
+        "s", "pairs").select("s.*", "pairs"), "near-positions")
+    placed = materialise(moving.join(near.selectExpr("lat_a AS lat", "lon_a AS lon").distinct(), ["lat", "lon"], "left_semi"), "near-vessels")
+    pairs = near.agg(F.sum("pairs")).first()[0] or 0
+    ranges = min(max(math.ceil(pairs / 2 / SECTION_PAIRS), 1), MOST_RANGES)
+    # a vessel is the later one for all earlier vessels, so ranges of equal numbers of pairs hold fewer vessels the later they are
+    shares = [math.sqrt(k / ranges) for k in range(1, ranges)]
+    edges = sorted(set(placed.agg(F.percentile_approx("at", shares, 100_000)).first()[0] or [])) if shares else []
+    ranges = len(edges) + 1
+    found = F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge < F.col("at"))) if edges else F.lit(0)
+    placed = placed.withColumn("range", found)
+    ends = [f"{c}_{m}" for m in "ab" for c in ("lat", "lon")]
+    apart = near.drop("pairs").withColumns({
+        "dist": geo.haversine_nm(*ends), "out": geo.bearing_deg(*ends), "back": geo.bearing_deg(*ends[2:], *ends[:2]),
+        "text": F.expr(f"format_string('%.2f', {geo.haversine_sql(*ends)})"),
+    })
+
+    def section(kind: str, at: str) -> str:
+        return f"CAST({kind} * {ranges} + {ranges} - 1 - {at} AS INT)"
+
+    kinds = f"if(dist < {t.near_miss_nm / 2!r}D, array(0), array(1, 2))"
+    later = placed.selectExpr("lat AS lat_a", "lon AS lon_a", "range", "mmsi", "vessel_name", "event_id", "heading", "base_datetime", "at", "lat", "lon")
+    later = later.join(apart, ["lat_a", "lon_a"]).selectExpr("*", f"explode({kinds}) AS kind").selectExpr(
+        f"{section('kind', 'range')} AS section", "kind", "lat_b", "lon_b", "dist", "out", "back", "text", "at", "base_datetime",
+        "struct(mmsi, vessel_name, event_id, lat, lon, heading) AS v_a")
+    needed = later.selectExpr("section", f"{ranges} - 1 - section % {ranges} AS upto", "lat_b", "lon_b").distinct()
+    earlier = placed.withColumns({"lat_b": F.col("lat"), "lon_b": F.col("lon")}).join(needed, ["lat_b", "lon_b"]).filter("range <= upto").selectExpr(
+        "section", "lat_b", "lon_b", "at AS at_b", "struct(mmsi, vessel_name, event_id, lat, lon, heading) AS v_b")
+    met = later.repartitionById(3 * ranges, "section").join(
+        earlier.repartitionById(3 * ranges, "section").hint("merge"), ["section", "lat_b", "lon_b"])
+    met = met.filter("v_a.mmsi <> v_b.mmsi AND (at > at_b OR (at = at_b AND v_a.mmsi > v_b.mmsi))").selectExpr(
+        "kind", "dist", "text", "base_datetime", "if(v_a.mmsi < v_b.mmsi, v_a, v_b) AS v1", "if(v_a.mmsi < v_b.mmsi, v_b, v_a) AS v2",
+        "if(v_a.mmsi < v_b.mmsi, out, back) AS course")
+    met = met.withColumn("converging", geo.turn_wrapped("coalesce(v1.heading, 0D)", "course") < t.converging_deg)
+    return _rows(met.filter("kind = 0 OR converging = (kind = 1)"), t, "text", "base_datetime")
+
+
 def _described(found: DataFrame, t: Thresholds) -> DataFrame:
     """Near-miss rows of the pairs ``v_a, v_b``."""
     ends = ("v1.lat", "v1.lon", "v2.lat", "v2.lon")
-    return (
+    return _rows(
         found.selectExpr("if(v_a.mmsi < v_b.mmsi, v_a, v_b) AS v1", "if(v_a.mmsi < v_b.mmsi, v_b, v_a) AS v2")
         .withColumns({
             "dist": geo.haversine_nm(*ends),
             "turn": geo.turn_wrapped("coalesce(v1.heading, 0D)", geo.bearing_sql(*ends)),
         })
-        .withColumn("converging", F.col("turn") < t.converging_deg)
-        .select(
-            F.lit(COLLISION_KIND).alias("alert_type"),
-            F.when(F.col("dist") < t.near_miss_nm / 2, "CRITICAL")
-            .when(F.col("converging"), "HIGH").otherwise("MEDIUM").alias("severity"),
-            F.col("v1.mmsi").alias("mmsi_1"), F.col("v2.mmsi").alias("mmsi_2"),
-            F.col("v1.vessel_name").alias("vessel_name_1"), F.col("v2.vessel_name").alias("vessel_name_2"),
-            F.col("v1.event_id").alias("event_id_1"), F.col("v2.event_id").alias("event_id_2"),
-            F.round("dist", 3).alias("distance_nm"),
-            "converging",
-            F.expr("(v1.lat + v2.lat) / 2").alias("lat"),
-            F.expr("(v1.lon + v2.lon) / 2").alias("lon"),
-            labels.near_miss_text("v1.mmsi", "v2.mmsi", "dist", "converging").alias("description"),
-            F.expr("greatest(v1.base_datetime, v2.base_datetime)").alias("detected_at"),
-        )
+        .withColumn("converging", F.col("turn") < t.converging_deg),
+        t, "format_string('%.2f', dist)", "greatest(v1.base_datetime, v2.base_datetime)",
+    )
+
+
+def _rows(found: DataFrame, t: Thresholds, text: str, detected_at: str) -> DataFrame:
+    """The columns of a near miss of ``v1, v2``, of which ``dist`` and ``converging`` are known; ``text`` is the distance in words."""
+    return found.select(
+        F.lit(COLLISION_KIND).alias("alert_type"),
+        F.when(F.col("dist") < t.near_miss_nm / 2, "CRITICAL")
+        .when(F.col("converging"), "HIGH").otherwise("MEDIUM").alias("severity"),
+        F.col("v1.mmsi").alias("mmsi_1"), F.col("v2.mmsi").alias("mmsi_2"),
+        F.col("v1.vessel_name").alias("vessel_name_1"), F.col("v2.vessel_name").alias("vessel_name_2"),
+        F.col("v1.event_id").alias("event_id_1"), F.col("v2.event_id").alias("event_id_2"),
+        F.round("dist", 3).alias("distance_nm"),
+        "converging",
+        F.expr("(v1.lat + v2.lat) / 2").alias("lat"),
+        F.expr("(v1.lon + v2.lon) / 2").alias("lon"),
+        labels.near_miss_text("v1.mmsi", "v2.mmsi", text, "converging").alias("description"),
+        F.expr(detected_at).alias("detected_at"),
     )
 
 

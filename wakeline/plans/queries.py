@@ -128,12 +128,21 @@ def recent_other_than_collisions(alerts: DataFrame, as_of: Column, hours: int =
 
 def open_collisions(
     alerts: DataFrame, as_of: Column, hours: int = 6, severity: str | None = None, lexical: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
-    """Unresolved near misses, gravest first (``lexical`` orders severities by spelling instead)."""
+    """Unresolved near misses, gravest first (``lexical`` orders severities by spelling instead).
+
+    Alerts that are ``dealt`` lie in partitions by severity and time, as ``proximity.near_misses_in_order`` leaves them;
+    each partition is then sorted on its own.
+    """
     df = alerts.filter(
         (F.col("created_at") >= hours_before(as_of, hours))
         & (F.col("alert_type") == C.COLLISION_KIND) & ~F.col("is_resolved")
     )
+    if dealt and lexical:
+        raise ValueError("dealt alerts lie in the order of severity, not of its spelling")
+    if dealt:
+        return _only(df, severity=severity).sortWithinPartitions(F.desc("created_at"), "id")
     rank = F.col("severity") if lexical else labels.ordinal("severity")
     return _only(df, severity=severity).orderBy(rank.desc(), F.desc("created_at"), "id")
 
