@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import functions as F
 
 from wakeline.models import evaluation, isolation_forest, scaling, supervised
 from wakeline.plans import alerts, silver
@@ -230,3 +231,22 @@ def test_position_rounds_start_from_stored_rows(tables, monkeypatch):
     supervised.train_position(tables.silver, 5, rounds=1, depth=2, min_rows=1)
     assert len(plans) == 2
     assert not any("InMemoryRelation" in p or "lead(" in p for p in plans)
+
+
+def test_congestion_forest_is_trained_on_equal_parts(spark, monkeypatch):
+    """The rows of one stored file are many tasks; no part has much more than its share."""
+    seen = []
+
+    class Watched(supervised.Pipeline):
+        def _fit(self, dataset):
+            seen.append([r["n"] for r in dataset.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()])
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(supervised, "Pipeline", Watched)
+    monkeypatch.setattr(supervised, "ROWS_OF_A_TASK", 50)
+    rows = spark.range(2000, numPartitions=1).selectExpr(
+        "id % 20 AS vessel_count", "id * 0.1D AS avg_sog", "if(id % 20 >= 15, 'HIGH', 'LOW') AS congestion_level")
+    features = ("vessel_count", "avg_sog")
+    model = supervised.train_congestion(rows, features, trees=3, depth=3)
+    assert len(seen[0]) == 40 and sum(seen[0]) == 2000 and max(seen[0]) <= 60
+    assert supervised.predict_congestion(rows, model, features).filter("congestion_level <> predicted_level").count() == 0

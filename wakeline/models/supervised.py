@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -123,24 +124,41 @@ def with_predictions(
 # --- congestion --------------------------------------------------------------------------------
 
 
+ROWS_OF_A_TASK = 100_000
+
+
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` in equal parts: two for each core, or more, so that none has over ``ROWS_OF_A_TASK`` of the ``n`` rows.
+
+    Each part is sorted, as the samples that MLlib draws follow the order of a part's rows.
+    """
+    parts = max(2 * rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_OF_A_TASK))
+    return rows.repartition(parts).sortWithinPartitions(*rows.columns)
+
+
 def train_congestion(
     train: DataFrame, features: Sequence[str] = C.CONGESTION_FEATURES, label: str = "congestion_level",
     trees: int = 200, depth: int = 10, min_leaf: int = 5, seed: int = 42,
 ) -> PipelineModel:
-    """Random forest with balanced class weights n / (k * n_class). The class counts are a few rows."""
+    """Random forest with balanced class weights n / (k * n_class). The class counts are a few rows.
+
+    MLlib keeps a row with its number of draws for every tree, some 5 bytes a tree, and each level of the trees is a pass over
+    all rows. How the rows are stored must then not decide on the size of the tasks: few bytes are many rows here.
+    """
     counts = train.groupBy(label).agg(F.count("*").alias("n"))
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("k"))
     weights = counts.select(
         label, (totals.select("n").scalar() / (totals.select("k").scalar() * F.col("n"))).alias("weight")
     )
-    rows = scaling.filled(train.join(F.broadcast(weights), label), features)
+    rows = scaling.filled(train.join(F.broadcast(weights), label), features).select(*features, label, "weight")
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows)
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, seed=seed,
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    fitted = Pipeline(stages=[assembler, forest]).fit(indexer.transform(rows))
+    dealt = _dealt(indexer.transform(rows).drop(label), counts.agg(F.sum("n")).first()[0] or 0)
+    fitted = Pipeline(stages=[assembler, forest]).fit(dealt)
     names = IndexToString(inputCol="prediction", outputCol="predicted_level", labels=indexer.labels)
     return PipelineModel([*fitted.stages, names])
 
