@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from checks import cases_models
 from wakeline.models import evaluation, isolation_forest, scaling, supervised
 from wakeline.plans import alerts, silver
 from wakeline.streaming.motion import MotionLinker
@@ -233,6 +234,24 @@ def test_position_rounds_start_from_stored_rows(tables, monkeypatch):
     assert not any("InMemoryRelation" in p or "lead(" in p for p in plans)
 
 
+def test_registered_position_model_has_all_rounds(tables, monkeypatch):
+    """The registered run takes the rounds, depth and rate of the library: none of the work is left out."""
+    seen = []
+
+    class Enough(Exception):
+        pass
+
+    def kept(self, rows):
+        seen.append((self.getMaxIter(), self.getMaxDepth(), self.getStepSize()))
+        raise Enough
+
+    monkeypatch.setattr(GBTRegressor, "fit", kept)
+    monkeypatch.setattr(cases_models, "_POSITION", {})
+    with pytest.raises(Enough):
+        cases_models.position_model(tables)
+    assert seen == [(300, 6, 0.05)] * 2
+
+
 def test_congestion_forest_is_trained_on_equal_parts(spark, monkeypatch):
     """The rows of one stored file are many tasks; no part has much more than its share."""
     seen = []
