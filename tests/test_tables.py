@@ -256,6 +256,44 @@ def test_another_stage_changes_the_scorer(spark, tmp_path):
     assert np.isfinite(forest.low) and handle.current().sources == {live.FOREST: "registry:Production"}
 
 
+def test_a_batch_is_parsed_once(spark, tables, tmp_path):
+    """The scorer looks for stored vessels and scores: each message of the batch is read a single time, and nothing stays cached."""
+    from wakeline.streaming import scoring
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(mmsi):
+        read.add(1)
+        return mmsi
+
+    given = tables.silver.limit(60).drop("data_split", "sog_change", "heading_change", "time_delta_sec", "distance_nm").coalesce(1).persist()
+    batch = given.withColumn("mmsi", F.udf(counted, "string")("mmsi"))
+    scorer = scoring.LiveScorer(spark, str(tmp_path / "out"))
+    scorer(batch, 0)
+    given.unpersist()
+    assert read.value == 60 and not batch.is_cached
+    assert spark.read.parquet(f"{tmp_path}/out/scored").count() == 60
+
+
+def test_polls_find_their_alerts_once(spark, monkeypatch):
+    """The second poll copies the stored alerts of the first: pairs, which may be very many, are not searched again."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from checks import cases_streaming  # noqa: F401
+    from checks.registry import QUERIES
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def kept(self, path, *args, **more):
+        if "/polls-" in path:
+            plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", kept)
+    QUERIES["st_08_new_critical"](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 2 and "Join" in plans[0] and "Join" not in plans[1]
+
+
 def test_a_new_checkpoint_replaces_no_batch(spark, tmp_path):
     from wakeline.streaming import bronze
 
